@@ -416,8 +416,8 @@ ORACLE = {
         "bronze", "labeled",
     ),
     "hash_splits": with_tables(splits("bronze"), "bronze"),
-    "sentiment_score": with_tables(sentiments("cleaned"), "cleaned"),
-    "sentiment_score_join": with_tables(sentiments("cleaned"), "cleaned"),
+    "sentiment_score": with_tables(sentiments("silver"), "silver"),
+    "sentiment_score_join": with_tables(sentiments("silver"), "silver"),
     "bronze_union": with_tables(f"SELECT {RECORD} FROM bronze", "bronze"),
     "silver_build": with_tables(f"SELECT {SILVER_COLUMNS} FROM silver", "silver"),
     "gold_build": with_tables(f"SELECT {GOLD_COLUMNS} FROM gold", "gold"),

@@ -188,14 +188,14 @@ def hash_splits(spark, folder):
 
 @query
 def sentiment_score(spark, folder):
-    scored = with_sentiment(cleaned(spark, folder), given.lexicon(spark))
+    scored = with_sentiment(silver(spark, folder), given.lexicon(spark))
     return scored.select("id", "source", "sentiment_score")
 
 
 @query
 def sentiment_score_join(spark, folder):
     """The way for word lists too large to inline, here taken with a small one."""
-    scored = with_sentiment(cleaned(spark, folder), given.lexicon(spark), max_inline_words=0)
+    scored = with_sentiment(silver(spark, folder), given.lexicon(spark), max_inline_words=0)
     return scored.select("id", "source", "sentiment_score")
 
 

@@ -40,8 +40,22 @@ WORDS = [
 CREDIBILITY = {**SOURCE_CREDIBILITY, "pages": 0.9, "src1": 0.25, "src7": 0.125}
 
 
+# Columns of the given tables, so that no job has to look them up.
+COLUMNS = {
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "labels": "doc_id long, quality int, toxic int",
+    "pages": "page_id long, url string, html string",
+    "benchmark": "item_id long, text string",
+    "conversations": "conv_id long, turn long, role string, text string",
+    "embeddings": "vec_id long, embedding array<float>, label int",
+    "events": "event_id long, ts timestamp, user_id long, event_type string, value double,"
+    " props string",
+    "lineitem": "l_orderkey long, l_linenumber int, l_discount double, l_tax double",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def lexicon(spark: SparkSession) -> DataFrame:

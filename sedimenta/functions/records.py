@@ -40,9 +40,12 @@ def name_at(index: Column, names: Sequence[str]) -> Column:
     """Name by 0-based position; negative positions count from the end.
 
     A position outside the list fails the job under ANSI mode: the vocabulary is wrong then.
+    No position gives no name.
     """
     position = F.when(index >= 0, index + 1).otherwise(index)
-    return F.element_at(F.array(*[F.lit(n) for n in names]), position.cast("int"))
+    name = F.element_at(F.array(*[F.lit(n) for n in names]), position.cast("int"))
+    # Without the test a NULL position would be taken for the last one.
+    return F.when(index.isNotNull(), name)
 
 
 def hash_split(key: Column) -> Column:

@@ -152,15 +152,15 @@ def _moves_rows(
 
 
 def _touched(batch: DataFrame, partition_by: Sequence[str]) -> Column | None:
-    """Condition that selects the partitions of the batch, None if they are too many to list."""
-    values = batch.select(*partition_by).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
-    if len(values) > MAX_LISTED_PARTITIONS:
+    """Condition that selects the partitions of the batch, None if they are too many to list.
+
+    A partition is named by the JSON of its values, which also tells NULL apart.
+    """
+    place = F.to_json(F.struct(*partition_by))
+    found = batch.select(place).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
+    if len(found) > MAX_LISTED_PARTITIONS:
         return None
-    same = [
-        reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(row[c])) for c in partition_by])
-        for row in values
-    ]
-    return reduce(Column.__or__, same, F.lit(False))
+    return place.isin([row[0] for row in found])
 
 
 def _replace_table(

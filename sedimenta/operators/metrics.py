@@ -60,8 +60,8 @@ def classification_metrics(
 ) -> DataFrame:
     """Accuracy, and precision / recall / F1 weighted by the rows of each true class.
 
-    A class that is never predicted, or never hit, scores 0. One row per value of ``by``, so
-    that several candidates can be scored in one pass.
+    A class that is never predicted, or never hit, scores 0; without any rows the metrics are
+    NULL. One row per value of ``by``, so that several candidates can be scored in one pass.
     """
     pairs = df.groupBy(*by, F.col(label).alias("_label"), F.col(prediction).alias("_pred")).agg(
         F.count(F.lit(1)).alias("_n")
@@ -86,14 +86,14 @@ def classification_metrics(
     total = F.sum(support)
 
     def weighted(score: Column) -> Column:
-        return ratio(F.sum(support * score), total)
+        return F.sum(support * score) / total
 
     return classes.groupBy(*by).agg(
         weighted(ratio(2 * hits, support + predicted)).alias("f1"),
-        ratio(F.sum(hits), total).alias("accuracy"),
+        (F.sum(hits) / total).alias("accuracy"),
         weighted(ratio(hits, predicted)).alias("precision"),
         weighted(ratio(hits, support)).alias("recall"),
-        total.alias("n_rows"),
+        F.coalesce(total, F.lit(0)).alias("n_rows"),
     )
 
 

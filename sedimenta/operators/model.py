@@ -88,7 +88,7 @@ def train_classifier(
     train_vectors.unpersist()
     val_vectors.unpersist()
     chosen = best_model(metrics).head()
-    if chosen is None:
+    if chosen is None or chosen["f1"] is None:
         raise ValueError("no validation rows to choose a model by")
     return PipelineModel(stages=[features, models[chosen["candidate"]]]), metrics
 

@@ -8,10 +8,13 @@ from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
+# Adaptive execution splits and merges shuffle partitions towards 128 MB, which fits a task's
+# memory and keeps files of a useful size; the number of shuffle partitions is the cluster's.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
 }
 
