@@ -38,11 +38,11 @@ def test_row_index_spreads_a_hot_group(spark, tmp_path, monkeypatch):
     path = tmp_path / "sorted"
     monkeypatch.setattr("sedimenta.operators.ranking.scratch_path", lambda *_: str(path))
     df = spark.range(0, 200_000, 1, 8).selectExpr("'all' AS g", "id * 7 % 200003 AS o")
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         indexed = row_index(df, ["g"], ["o"])
     finally:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(list(path.glob("part-*"))) > 1
     wrong = indexed.selectExpr("row_index AS i", "rank() OVER (ORDER BY o) - 1 AS r")
     assert wrong.where("i <> r").count() == 0
