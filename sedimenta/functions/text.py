@@ -38,8 +38,13 @@ def has_text(text: Column) -> Column:
 
 
 def clean(text: Column) -> Column:
-    """Drop tags, fold runs of ASCII white space to one space, trim, lower-case."""
-    without_tags = F.regexp_replace(text, TAG_PATTERN, "")
+    """Drop tags, fold runs of ASCII white space to one space, trim, lower-case.
+
+    Most texts have no tags; those are spared the pattern, which starts with the bracket.
+    """
+    without_tags = F.when(
+        F.contains(text, F.lit("<")), F.regexp_replace(text, TAG_PATTERN, "")
+    ).otherwise(text)
     return F.lower(F.trim(F.regexp_replace(without_tags, SPACE_PATTERN, " ")))
 
 

@@ -25,18 +25,8 @@ DECIMALS = 6
 
 
 def tokens(text: Column) -> Column:
-    """Words of lower-case text, in order: runs of a-z and apostrophe.
-
-    Text that starts or ends with something else brings an empty word at that end.
-    """
-    return F.split(text, "[^a-z']+")
-
-
-def word_pairs(words: str) -> Column:
-    """Each word of an array column with the word before it, and one NULL word at the end."""
-    return F.arrays_zip(
-        F.col(words).alias("word"), F.concat(F.array(F.lit("")), words).alias("before")
-    )
+    """Words of lower-case text, in order: runs of a-z and apostrophe."""
+    return F.regexp_extract_all(text, F.lit("[a-z']+"), 0)
 
 
 def with_sentiment(
@@ -93,19 +83,23 @@ def _inline_score(df: DataFrame, rows: list[Row]) -> DataFrame:
     def entry_of(word: Column) -> Column:
         return F.element_at(F.get(table, F.pmod(F.hash(word), F.lit(len(rows)))), word)
 
-    def add(total: Column, pair: Column) -> Column:
-        factor = F.coalesce(entry_of(pair["before"])["factor"], F.lit(1.0))
-        return total + _limit(entry_of(pair["word"])["polarity"] * factor)
+    def word_at(position: Column) -> Column:
+        return F.coalesce(F.get("_words", position), F.lit(""))
+
+    def add(total: Column, position: Column) -> Column:
+        factor = F.coalesce(entry_of(word_at(position - 1))["factor"], F.lit(1.0))
+        return total + _limit(entry_of(word_at(position))["polarity"] * factor)
 
     # As SQL text: thousands of literals made one by one in Python take seconds.
     listed = ", ".join(_sql_string(word) for word in polar)
-    found = df.withColumn("_pairs", word_pairs("_words")).withColumn(
-        "_found", F.expr(f"filter(_pairs, pair -> pair.word IN ({listed}))")
+    found = df.withColumn(
+        "_found",
+        F.expr(f"array_compact(transform(_words, (w, i) -> if(w IN ({listed}), i, NULL)))"),
     )
     mean = F.when(
         F.size("_found") > 0, F.aggregate("_found", F.lit(0.0), add) / F.size("_found")
     )
-    return found.withColumn("sentiment_score", _as_score(mean)).drop("_pairs", "_found")
+    return found.withColumn("sentiment_score", _as_score(mean)).drop("_found")
 
 
 def _sql_string(word: str) -> str:
@@ -114,7 +108,11 @@ def _sql_string(word: str) -> str:
 
 def _joined_score(df: DataFrame, words: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Scores by joining each word with the list, and the mean back to its row."""
-    pairs = df.select(*keys, "_words").select(*keys, F.inline(word_pairs("_words")))
+    shifted = F.concat(F.array(F.lit("")), "_words")
+    pairs = df.select(
+        *keys,
+        F.inline(F.arrays_zip(F.col("_words").alias("word"), shifted.alias("before"))),
+    )
     polar = words.where("polarity is not null").select("word", "polarity")
     factors = words.where("factor <> 1.0").select(F.col("word").alias("before"), "factor")
     scored = join_small(join_small(pairs, polar, ["word"], "inner"), factors, ["before"])
