@@ -25,7 +25,9 @@ from sedimenta.operators.merge import insert_new, read_table, upsert, write_tabl
 from sedimenta.operators.ranking import cap_per_term, row_index
 from sedimenta.operators.sentiment import with_sentiment
 from sedimenta.plans import bronze as bronze_plan
-from sedimenta.plans.gold import known_labels, refresh_gold, to_gold, with_features
+from sedimenta.plans.gold import known_labels, to_gold
+from sedimenta.plans.layers import refresh_layers
+from sedimenta.plans.scoring import score_texts
 from sedimenta.plans.silver import refresh_silver, to_silver, with_text_columns
 from sedimenta.schemas import (
     BRONZE,
@@ -240,14 +242,13 @@ def layers_refresh(spark, folder):
         f(spark, folder)
         for f in (given.document_records, given.page_records, given.benchmark_records)
     ]
+    landing = given.landed(given.posts(spark, folder))
     for _ in range(2):
-        bronze_plan.ingest_records(records, paths["bronze"], given.as_of())
-        refresh_silver(spark, paths["bronze"], paths["silver"], given.as_of())
-        table = refresh_gold(
-            spark, paths["silver"], paths["gold"], given.lexicon(spark), given.CREDIBILITY,
-            given.as_of(),
+        refresh_layers(
+            spark, paths, records, given.lexicon(spark), landing,
+            credibility=given.CREDIBILITY, as_of=given.as_of(),
         )
-    return without_times(table)
+    return without_times(read_table(spark, paths["gold"], GOLD))
 
 
 @query
@@ -536,9 +537,8 @@ def train_classifier(spark, folder):
 
 def scored_rows(spark: SparkSession, folder: str) -> DataFrame:
     fitted, _ = trained(spark, folder)
-    accepted, _ = model.accepted_and_rejected(cleaned(spark, folder))
-    texts = with_features(accepted, given.lexicon(spark), given.CREDIBILITY)
-    return model.score(fitted, texts, "1")
+    texts = given.bronze(spark, folder)
+    return score_texts(fitted, texts, given.lexicon(spark), "1", given.CREDIBILITY)[0]
 
 
 @query

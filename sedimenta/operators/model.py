@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, SQLTransformer, VectorAssembler
@@ -67,22 +68,23 @@ def train_classifier(
     columns = ["features", "label_binary", *([weight] if weight else [])]
     train_vectors = features.transform(train).select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
     val_vectors = features.transform(val).select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
-    models, evaluations = {}, []
-    for number, reg_param in enumerate(reg_params):
-        estimator = LogisticRegression(
-            labelCol="label_binary", regParam=reg_param, maxIter=max_iter
+    estimator = LogisticRegression(labelCol="label_binary", maxIter=max_iter)
+    if weight:
+        estimator = estimator.setWeightCol(weight)
+    # Each fit is a row of short jobs; side by side they fill the gaps between them.
+    fits = estimator.fitMultiple(train_vectors, [{estimator.regParam: r} for r in reg_params])
+    spark = train.sparkSession
+    with ThreadPool(len(reg_params)) as pool:
+        models = dict(
+            pool.imap_unordered(inheritable_thread_target(spark)(lambda _: next(fits)), reg_params)
         )
-        if weight:
-            estimator = estimator.setWeightCol(weight)
-        models[number] = estimator.fit(train_vectors)
-        scored = models[number].transform(val_vectors)
-        evaluations.append(
-            classification_metrics(scored, "label_binary").select(
-                F.lit(number).alias("candidate"), F.lit(reg_param).alias("reg_param"), "*"
-            )
+    evaluations = [
+        classification_metrics(models[number].transform(val_vectors), "label_binary").select(
+            F.lit(number).alias("candidate"), F.lit(reg_param).alias("reg_param"), "*"
         )
+        for number, reg_param in enumerate(reg_params)
+    ]
     # A row per candidate: kept as values, so that it does not depend on the cached vectors.
-    spark = train.sparkSession
     found = reduce(DataFrame.unionByName, evaluations)
     metrics = spark.createDataFrame(found.collect(), found.schema)
     train_vectors.unpersist()

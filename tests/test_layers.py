@@ -10,6 +10,7 @@ from sedimenta.operators.export import export_splits, read_export
 from sedimenta.operators.merge import read_table
 from sedimenta.plans.bronze import ingest_records
 from sedimenta.plans.gold import refresh_gold, to_gold
+from sedimenta.plans.layers import refresh_layers
 from sedimenta.plans.silver import refresh_silver, to_silver
 from sedimenta.schemas import BRONZE, GOLD, SILVER
 
@@ -60,6 +61,27 @@ def test_layers(layers, spark, tmp_path):
     assert {r.ingested_at for r in again["silver"].collect()} == times
 
 
+def test_all_layers_at_once(spark, tmp_path):
+    paths = {n: str(tmp_path / n) for n in ("bronze", "silver", "gold")}
+    parts = [given.document_records(spark, FOLDER)]
+    landing = given.landed(given.posts(spark, FOLDER))
+
+    def refresh(source, folder):
+        return refresh_layers(spark, paths, source, given.lexicon(spark), folder, limit=None)
+
+    assert refresh(parts, str(tmp_path / "nothing landed")) == "partial"
+    gold = read_table(spark, paths["gold"], GOLD).count()
+    assert gold > 0
+    assert refresh([], landing) == "success"
+    silver = read_table(spark, paths["silver"], SILVER)
+    assert silver.where("source = 'bluesky'").count() > 0
+    # Posts have no known class, so none of them gets to gold.
+    assert read_table(spark, paths["gold"], GOLD).count() == gold
+    failing = parts[0].withColumn("text", F.raise_error(F.lit("source down")).cast("string"))
+    with pytest.raises(Exception, match="source down"):
+        refresh([failing], landing)
+
+
 def test_schemas(spark):
     silver = to_silver(given.bronze(spark, FOLDER))
     gold = to_gold(silver, given.lexicon(spark))

@@ -59,6 +59,23 @@ def test_scores(spark, trained, table):
     assert sum(r.prediction == r.label_binary for r in rows) > 380
 
 
+def test_raw_texts(spark, table):
+    from sedimenta.functions.lexicon import default_lexicon
+    from sedimenta.plans.scoring import score_texts
+
+    model, _ = train_classifier(table, table, reg_params=(0.01,), n_features=1 << 10, max_iter=5)
+    texts = spark.createDataFrame(
+        [("1", "s", "Shocking SECRET <b>hoax</b>!"), ("2", "s", "Official report, data"),
+         ("3", "s", "short"), ("4", "s", None)],
+        "id string, source string, text string",
+    )
+    scored, rejected = score_texts(model, texts, default_lexicon(spark), "1")
+    found = {r.id: r.predicted_label for r in scored.collect()}
+    assert found == {"1": "misinformation", "2": "credible"}
+    assert {r.id for r in rejected.collect()} == {"3", "4"}
+    assert scored.columns[:3] == rejected.columns == texts.columns
+
+
 def test_model_survives_saving(spark, trained, table, tmp_path):
     from pyspark.ml import PipelineModel
 

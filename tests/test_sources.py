@@ -146,6 +146,12 @@ def test_posts(spark, tmp_path):
     assert found["at://3"].text == "odd count"
 
 
+def test_unreadable_files_are_skipped(spark, tmp_path):
+    path = land(tmp_path / "in", POSTS)
+    (tmp_path / "in" / "broken.json.gz").write_bytes(b"\x1f\x8b\x08 not really compressed")
+    assert post_records(read_posts(spark, path)).count() == 3
+
+
 def test_ingest_posts_twice(spark, tmp_path):
     path, table = land(tmp_path / "in", POSTS), str(tmp_path / "bronze")
     for _ in range(2):
