@@ -278,6 +278,24 @@ TABLES = {
                conv_id, turn, indexed_at, query
         FROM turns
     """,
+    "statements": f"""
+        SELECT CAST(doc_id AS VARCHAR) AS id, text,
+               {listing(given.STATEMENT_CLASSES)}[doc_id % {len(given.STATEMENT_CLASSES)} + 1]
+                   AS label, 'liar' AS source,
+               CAST(to_json({{'subject': lang,
+                    'speaker': CASE WHEN source <> 'src3' THEN source END,
+                    'split': {DOCUMENT_SPLIT}}}) AS VARCHAR) AS raw_meta
+        FROM documents
+    """,
+    "headlines": f"""
+        SELECT split || '_' || (row_number() OVER (PARTITION BY split ORDER BY doc_id) - 1) AS id,
+               text, CASE WHEN quality = 1 THEN 'real' ELSE 'fake' END AS label,
+               'fakenewsnet' AS source,
+               CAST(to_json({{'news_url': 'https://example.org/' || doc_id,
+                    'source_domain': lang, 'tweet_num': 0, 'split': split}}) AS VARCHAR)
+                   AS raw_meta
+        FROM (SELECT *, {DOCUMENT_SPLIT} AS split FROM labeled)
+    """,
     "guesses": """
         SELECT vec_id, label,
                list_position(embedding, list_max(embedding)) - 1 AS position FROM embeddings
@@ -302,6 +320,7 @@ NEEDS = {
     "old_gold": ["old_silver", "old_sentiment", "old_split"],
     "new_gold": ["new_silver", "new_sentiment", "new_split"],
     "post_records": ["turns"],
+    "headlines": ["labeled"],
 }
 
 
@@ -390,11 +409,11 @@ ORACLE = {
                    AS n FROM events)
         WHERE n = 1
     """,
-    "exclamation_ratios": with_tables(
+    "exclamation_ratio": with_tables(
         f"SELECT id, source, {EXCLAMATIONS} AS exclamation_ratio FROM cleaned", "cleaned"
     ),
-    "caps_ratios": with_tables(f"SELECT id, source, {CAPS} AS caps_ratio FROM bronze", "bronze"),
-    "avg_word_lengths": with_tables(
+    "caps_ratio": with_tables(f"SELECT id, source, {CAPS} AS caps_ratio FROM bronze", "bronze"),
+    "avg_word_length": with_tables(
         f"SELECT id, source, {WORD_LENGTH} AS avg_word_length FROM cleaned", "cleaned"
     ),
     "safe_divide": """
@@ -415,7 +434,7 @@ ORACLE = {
         """,
         "bronze", "labeled",
     ),
-    "hash_splits": with_tables(splits("bronze"), "bronze"),
+    "hash_split": with_tables(splits("bronze"), "bronze"),
     "sentiment_score": with_tables(sentiments("silver"), "silver"),
     "sentiment_score_join": with_tables(sentiments("silver"), "silver"),
     "bronze_union": with_tables(f"SELECT {RECORD} FROM bronze", "bronze"),
@@ -467,25 +486,11 @@ ORACLE = {
         f"SELECT {GOLD_COLUMNS} FROM ({after_upsert('old_gold', 'new_gold')})",
         "old_gold", "new_gold",
     ),
-    "ingest_statements": f"""
-        SELECT CAST(doc_id AS VARCHAR) AS id, text,
-               {listing(given.STATEMENT_CLASSES)}[doc_id % {len(given.STATEMENT_CLASSES)} + 1]
-                   AS label, 'liar' AS source,
-               CAST(to_json({{'subject': lang,
-                    'speaker': CASE WHEN source <> 'src3' THEN source END,
-                    'split': {DOCUMENT_SPLIT}}}) AS VARCHAR) AS raw_meta
-        FROM documents
-    """,
-    "ingest_headlines": with_tables(
-        """
-        SELECT split || '_' || (row_number() OVER (PARTITION BY split ORDER BY doc_id) - 1) AS id,
-               text, CASE WHEN quality = 1 THEN 'real' ELSE 'fake' END AS label,
-               'fakenewsnet' AS source,
-               CAST(to_json({'news_url': 'https://example.org/' || doc_id,
-                    'source_domain': lang, 'tweet_num': 0, 'split': split}) AS VARCHAR) AS raw_meta
-        FROM (SELECT *, """ + DOCUMENT_SPLIT + """ AS split FROM labeled)
-        """,
-        "labeled",
+    "ingest_statements": with_tables(f"SELECT {RECORD} FROM statements", "statements"),
+    "ingest_headlines": with_tables(f"SELECT {RECORD} FROM headlines", "headlines"),
+    "ingest_static": with_tables(
+        f"SELECT {RECORD} FROM statements UNION ALL SELECT {RECORD} FROM headlines",
+        "statements", "headlines",
     ),
     "ingest_headline_files": """
         SELECT 'all_' || doc_id AS id, text, 'fake' AS label, 'fakenewsnet' AS source,
@@ -544,10 +549,15 @@ ORACLE = {
         """,
         "labeled",
     ),
+    "token_features": with_tables(
+        "SELECT id, source, CAST(len(string_split(text_clean, ' ')) AS INTEGER) AS n_tokens "
+        "FROM silver",
+        "silver",
+    ),
     "argmax_prediction": with_tables(
         "SELECT vec_id, label, CAST(position AS INTEGER) AS position FROM guesses", "guesses"
     ),
-    "class_names": """
+    "class_name": """
         SELECT vec_id, CASE label WHEN 0 THEN 'credible' WHEN 1 THEN 'misinformation'
                ELSE 'unknown' END AS label_name FROM embeddings
     """,

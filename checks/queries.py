@@ -50,7 +50,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[function.__name__] = function
+    """Register a query under its name, without the ending that tells it from an import."""
+    QUERIES[function.__name__.removesuffix("_query")] = function
     return function
 
 
@@ -142,19 +143,19 @@ def unique_batch_keys(spark, folder):
 
 
 @query
-def exclamation_ratios(spark, folder):
+def exclamation_ratio_query(spark, folder):
     share = exclamation_ratio(F.col("text_clean"), F.col("char_count"))
     return cleaned(spark, folder).select("id", "source", share.alias("exclamation_ratio"))
 
 
 @query
-def caps_ratios(spark, folder):
+def caps_ratio_query(spark, folder):
     share = caps_ratio(F.col("text"))
     return given.bronze(spark, folder).select("id", "source", share.alias("caps_ratio"))
 
 
 @query
-def avg_word_lengths(spark, folder):
+def avg_word_length_query(spark, folder):
     length = avg_word_length(F.col("char_count"), F.col("word_count"))
     return cleaned(spark, folder).select("id", "source", length.alias("avg_word_length"))
 
@@ -184,7 +185,7 @@ def source_credibility_join(spark, folder):
 
 
 @query
-def hash_splits(spark, folder):
+def hash_split_query(spark, folder):
     return given.bronze(spark, folder).select("id", "source", hash_split(F.col("id")).alias("split"))
 
 
@@ -324,8 +325,7 @@ def document_split() -> Column:
     )
 
 
-@query
-def ingest_statements(spark, folder):
+def statements(spark: SparkSession, folder: str) -> DataFrame:
     """Statements landed as JSON, one folder per split, with a class number."""
     documents = given.table(spark, folder, "documents").select(
         F.col("doc_id").cast("string").alias("id"),
@@ -343,6 +343,11 @@ def ingest_statements(spark, folder):
     return static.statement_records(rows, given.STATEMENT_CLASSES)
 
 
+@query
+def ingest_statements(spark, folder):
+    return statements(spark, folder)
+
+
 def headlines(df: DataFrame) -> DataFrame:
     return df.select(
         "doc_id",
@@ -361,6 +366,17 @@ def ingest_headlines(spark, folder):
     return static.headline_records(rows, order=["doc_id"])
 
 
+@query
+def ingest_static(spark, folder):
+    """Both labeled sources into one table, twice."""
+    path = scratch_path(spark, "bronze")
+    for _ in range(2):
+        rows = headlines(given.labeled_documents(spark, folder))
+        parts = [statements(spark, folder), static.headline_records(rows, order=["doc_id"])]
+        bronze_plan.ingest_records(parts, path, given.as_of())
+    return without_times(read_table(spark, path, BRONZE))
+
+
 @query
 def ingest_headline_files(spark, folder):
     """Headlines numbered by their place in the given files, without a sort."""
@@ -460,7 +476,7 @@ def argmax_prediction(spark, folder):
 
 
 @query
-def class_names(spark, folder):
+def class_name_query(spark, folder):
     return predictions(spark, folder).select(
         "vec_id", class_name(F.col("label")).alias("label_name")
     )

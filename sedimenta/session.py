@@ -8,8 +8,7 @@ from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
-# Adaptive execution splits and merges shuffle partitions towards 128 MB, which fits a task's
-# memory and keeps files of a useful size; the number of shuffle partitions is the cluster's.
+# Adaptive execution merges small shuffle partitions and splits skewed ones.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -18,6 +17,22 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+MEGABYTE = 1 << 20
+
+
+def sizing(data_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for a job over that much input on that many cores.
+
+    Map tasks read up to 512 MB and shuffle partitions hold about 1 GB, which sorts with little
+    spill; smaller ones would make too many blocks of too few bytes. Every core gets some work.
+    """
+    shuffle_partitions = max(2 * cores, data_bytes // (1024 * MEGABYTE))
+    read_bytes = min(512 * MEGABYTE, max(4 * MEGABYTE, data_bytes // (2 * cores)))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.files.maxPartitionBytes": str(read_bytes),
+    }
+
 
 def build_session(app: str, master: str | None = None, **settings: str) -> SparkSession:
     """A session with adaptive execution on; ``settings`` are added as given."""

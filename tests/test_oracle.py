@@ -10,7 +10,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 FOLDER = "/root/testdata/sf0.001"
 
 # Not to be had in SQL: what a trained model says.
-ROWS_ONLY = {"train_classifier", "score_batch", "evaluate_scored", "token_features"}
+ROWS_ONLY = {"train_classifier", "score_batch", "evaluate_scored"}
 
 
 @pytest.fixture(scope="module")

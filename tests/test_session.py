@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 
-from sedimenta.session import scratch_path
+from sedimenta.session import scratch_path, sizing
 
 
 class Session:
@@ -33,3 +33,14 @@ def test_a_cluster_needs_a_shared_folder():
 
 def test_a_local_session_may_do_without():
     assert "/sedimenta-" in scratch_path(Session(master="local[4]"), "x")
+
+
+@pytest.mark.parametrize(
+    ("data_bytes", "cores", "partitions", "read"),
+    [(10**7, 8, 16, 4 << 20), (100 * 10**12, 8000, 93132, 512 << 20), (10**11, 8, 93, 512 << 20)],
+)
+def test_sizing(data_bytes, cores, partitions, read):
+    assert sizing(data_bytes, cores) == {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(read),
+    }
