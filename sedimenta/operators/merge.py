@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..constants import KEYS
-from ..session import scratch_path
+from ..session import discard, scratch_path
 from .dedup import unique_keys
 
 # More touched partitions than this, and the whole table is rewritten.
@@ -113,17 +113,18 @@ def upsert(
 
     if not partition_by or _moves_rows(target, staged, keys, partition_by):
         _replace_table(upserted(target, staged, keys), path, schema, partition_by)
-        return
-    touched = _touched(staged, partition_by)
-    if touched is not None:
-        target = target.where(touched)
-    write_table(
-        upserted(target, staged, keys).select(*schema.names),
-        path,
-        partition_by,
-        mode="overwrite",
-        partitionOverwriteMode="dynamic",
-    )
+    else:
+        touched = _touched(staged, partition_by)
+        if touched is not None:
+            target = target.where(touched)
+        write_table(
+            upserted(target, staged, keys).select(*schema.names),
+            path,
+            partition_by,
+            mode="overwrite",
+            partitionOverwriteMode="dynamic",
+        )
+    discard(spark, staged_path)
 
 
 def _require_unique(batch: DataFrame, keys: Sequence[str]) -> None:
@@ -166,9 +167,10 @@ def _touched(batch: DataFrame, partition_by: Sequence[str]) -> Column | None:
 def _replace_table(
     df: DataFrame, path: str, schema: T.StructType, partition_by: Sequence[str]
 ) -> None:
-    """Write the new content aside, then put it in place; the copy aside is kept."""
+    """Write the new content aside, then put it in place; should that fail, the copy is there."""
     spark = df.sparkSession
     aside = scratch_path(spark, "table")
     write_table(df.select(*schema.names), aside, partition_by)
     copy = spark.read.schema(schema).parquet(aside)
     write_table(copy, path, partition_by, mode="overwrite", partitionOverwriteMode="static")
+    discard(spark, aside)

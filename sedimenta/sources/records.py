@@ -36,6 +36,13 @@ def union_records(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def stamped(records: DataFrame, as_of: Column | None = None) -> DataFrame:
-    """Add the time of ingestion, the same for all rows, and put columns in table order."""
+    """Add the time of ingestion, the same for all rows, and put columns in table order.
+
+    A row without id or source cannot be told from others and fails the job.
+    """
+    missing = F.raise_error(F.lit("a record has no id or no source")).cast("string")
     now = F.current_timestamp() if as_of is None else as_of
-    return records.withColumn("ingested_at", now).select(*BRONZE.names)
+    return records.withColumns(
+        {"id": F.coalesce("id", missing), "source": F.coalesce("source", missing),
+         "ingested_at": now}
+    ).select(*BRONZE.names)

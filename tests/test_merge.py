@@ -107,6 +107,17 @@ def test_upsert_rejects_a_key_that_occurs_twice(spark, path):
     assert content(spark, path) == sorted(OLD)
 
 
+def test_upsert_clears_its_scratch_folder(spark, path, tmp_path, monkeypatch):
+    scratch = tmp_path / "scratch"
+    monkeypatch.setattr(merge, "scratch_path", lambda _, name: f"{scratch}/{name}")
+    for partition_by in (["source"], []):
+        target = f"{path}-{len(partition_by)}"
+        upsert(rows(spark, *OLD), target, SCHEMA, partition_by=partition_by)
+        upsert(rows(spark, *NEW), target, SCHEMA, partition_by=partition_by)
+        assert content(spark, target) == UPSERTED
+        assert list(scratch.iterdir()) == []
+
+
 def test_null_keys_never_match(spark, path):
     upsert(rows(spark, ("1", None, "old", "train")), path, SCHEMA, partition_by=["source"])
     upsert(rows(spark, ("1", None, "new", "train")), path, SCHEMA, partition_by=["source"])

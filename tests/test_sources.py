@@ -40,6 +40,14 @@ def test_stamped_rows_share_one_time_and_have_table_order(spark):
     assert rows.select("ingested_at").distinct().count() == 1
 
 
+@pytest.mark.parametrize("column", ["id", "source"])
+def test_a_record_needs_a_key(spark, column):
+    df = spark.range(3).select(*[F.lit("x").alias(c) for c in BRONZE.names if c != "ingested_at"])
+    assert stamped(df).count() == 3
+    with pytest.raises(Exception, match="no id or no source"):
+        stamped(df.withColumn(column, F.lit(None).cast("string"))).collect()
+
+
 @pytest.mark.parametrize("format", ["parquet", "json", "csv"])
 def test_statements(spark, tmp_path, format):
     df = spark.createDataFrame(
