@@ -17,7 +17,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from checks.queries import QUERIES  # noqa: E402
-from sedimenta.session import build_session  # noqa: E402
+from sedimenta.session import build_session, sizing  # noqa: E402
 
 HEADLINES = [
     "dedup_text_source",
@@ -43,9 +43,10 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     names = sys.argv[1:] or HEADLINES
+    data_bytes = sum(f.stat().st_size for f in Path(folder).glob("*.parquet"))
     settings = {
+        **sizing(data_bytes, int(cpus)),
         "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g"),
-        "spark.sql.shuffle.partitions": cpus,
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),

@@ -24,13 +24,15 @@ def sizing(data_bytes: int, cores: int) -> dict[str, str]:
     """Settings for a job over that much input on that many cores.
 
     Map tasks read up to 512 MB and shuffle partitions hold about 1 GB, which sorts with little
-    spill; smaller ones would make too many blocks of too few bytes. Every core gets some work.
+    spill; smaller ones would make too many blocks of too few bytes. Partitions that are merged
+    or split at run time, and with them files, come to 128 MB. Small jobs get smaller pieces, so
+    that every core has some work.
     """
-    shuffle_partitions = max(2 * cores, data_bytes // (1024 * MEGABYTE))
-    read_bytes = min(512 * MEGABYTE, max(4 * MEGABYTE, data_bytes // (2 * cores)))
+    share = max(16 * MEGABYTE, data_bytes // (2 * cores))
     return {
-        "spark.sql.shuffle.partitions": str(shuffle_partitions),
-        "spark.sql.files.maxPartitionBytes": str(read_bytes),
+        "spark.sql.shuffle.partitions": str(max(cores, data_bytes // (1024 * MEGABYTE))),
+        "spark.sql.files.maxPartitionBytes": str(min(512 * MEGABYTE, share)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(min(128 * MEGABYTE, share)),
     }
 
 

@@ -36,11 +36,16 @@ def test_a_local_session_may_do_without():
 
 
 @pytest.mark.parametrize(
-    ("data_bytes", "cores", "partitions", "read"),
-    [(10**7, 8, 16, 4 << 20), (100 * 10**12, 8000, 93132, 512 << 20), (10**11, 8, 93, 512 << 20)],
+    ("data_bytes", "cores", "partitions", "read", "written"),
+    [
+        (10**7, 8, 8, 16 << 20, 16 << 20),
+        (10**11, 8, 93, 512 << 20, 128 << 20),
+        (100 * 10**12, 8000, 93132, 512 << 20, 128 << 20),
+    ],
 )
-def test_sizing(data_bytes, cores, partitions, read):
+def test_sizing(data_bytes, cores, partitions, read, written):
     assert sizing(data_bytes, cores) == {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.files.maxPartitionBytes": str(read),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(written),
     }
