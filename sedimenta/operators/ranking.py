@@ -25,18 +25,18 @@ def file_row_index(
     other in a file, as they do when a file holds one group or is sorted by it. Only counts
     per file and group are shuffled.
     """
-    filed = df.withColumn("_file", file_order)
-    spans = filed.groupBy(*by, "_file").agg(
+    # One struct as key, because rows of a NULL group have to find their counts as well.
+    placed = df.withColumn("_place", F.struct(*by, file_order.alias("_file")))
+    spans = placed.groupBy("_place").agg(
         F.min(position).alias("_first"), F.count(F.lit(1)).alias("_n")
     )
-    before = Window.partitionBy(*by).orderBy("_file").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    group = Window.partitionBy(*[F.col("_place")[c] for c in by]).orderBy("_place._file")
+    earlier = F.sum("_n").over(group.rowsBetween(Window.unboundedPreceding, -1))
     shifts = spans.select(
-        *by, "_file", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_shift")
+        "_place", (F.coalesce(earlier, F.lit(0)) - F.col("_first")).alias("_shift")
     )
-    indexed = join_small(filed, shifts, [*by, "_file"], "inner")
-    return indexed.withColumn(name, F.col(position) + F.col("_shift")).drop("_file", "_shift")
+    indexed = join_small(placed, shifts, ["_place"], "inner")
+    return indexed.withColumn(name, F.col(position) + F.col("_shift")).drop("_place", "_shift")
 
 
 def row_index(

@@ -39,7 +39,7 @@ def with_sentiment(
     """Add ``sentiment_score``. NULL text scores 0.0.
 
     A word list of checked size is looked up inside each row, without any shuffle. A larger
-    one is joined word by word, which needs ``keys`` to be unique.
+    one is joined word by word, which needs ``keys`` that are unique and not NULL.
     """
     words = lexicon.select(
         "word",

@@ -48,10 +48,12 @@ def test_row_index_spreads_a_hot_group(spark, tmp_path, monkeypatch):
     assert wrong.where("i <> r").count() == 0
 
 
-def test_row_index_with_null_groups(spark):
-    df = spark.createDataFrame([("a", 2), ("a", 1), ("b", 5)], "g string, o int")
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_row_index_with_null_groups(spark, monkeypatch, broadcast):
+    monkeypatch.setattr("sedimenta.operators.joins.within", lambda df, n: broadcast)
+    df = spark.createDataFrame([("a", 2), (None, 7), ("a", 1), (None, 3)], "g string, o int")
     assert {(r.g, r.o, r.row_index) for r in row_index(df, ["g"], ["o"]).collect()} == {
-        ("a", 1, 0), ("a", 2, 1), ("b", 5, 0)
+        ("a", 1, 0), ("a", 2, 1), (None, 3, 0), (None, 7, 1)
     }
 
 
