@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +20,23 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Let executors import this package, whatever their path is; once per application.
+
+    Spark's file server sends the archive, so it need not be on a shared folder.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parent.parent
+        target = Path(tempfile.mkdtemp(prefix="code-")) / package.name
+        archive = shutil.make_archive(str(target), "zip", package.parent, package.name)
+        context.addPyFile(archive)
+        _shipped.add(context.applicationId)
+
+
 @contextmanager
 def released_shuffles(spark: SparkSession) -> Iterator[None]:
     """Shuffle files of the queries run inside go when each query ends.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontaminate import SHINGLE, THRESHOLD
 from .queries import HOST_RULES, PATTERN_RULES
 from .url_rules import ALLOW
 
@@ -50,4 +51,25 @@ SELECT page_id, host, path, h.rule AS rule,
 FROM parts LEFT JOIN by_host h USING (id) LEFT JOIN by_pattern p USING (id)
 """
 
-ORACLE = {"op7_url_rules": OP7}
+# ASCII other than letters and digits.
+_SEPARATOR = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _shingles(table: str, key: str) -> str:
+    words = f"list_filter(regexp_split_to_array(lower(text), '{_SEPARATOR}'), lambda w: w <> '')"
+    return f"""
+  SELECT DISTINCT {key}, unnest([array_to_string(w[i:i + {SHINGLE - 1}], ' ')
+    FOR i IN range(1, greatest(len(w) - {SHINGLE - 2}, 1))]) AS shingle
+  FROM (SELECT {key}, {words} AS w FROM {table})"""
+
+
+OP4 = f"""
+WITH item AS ({_shingles("benchmark", "item_id")}),
+doc AS ({_shingles("documents", "doc_id")}),
+size AS (SELECT item_id, count(*) AS n_shingles FROM item GROUP BY item_id)
+SELECT doc_id, item_id, n_shingles, count(*) AS n_found, count(*) / n_shingles AS containment
+FROM doc JOIN item USING (shingle) JOIN size USING (item_id)
+GROUP BY doc_id, item_id, n_shingles HAVING count(*) / n_shingles >= {THRESHOLD}
+"""
+
+ORACLE = {"op4_benchmark_items": OP4, "op7_url_rules": OP7}

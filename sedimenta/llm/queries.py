@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read_table
+from .decontaminate import contained_items
 from .pii import KINDS, find_personal_data, span_list
+from .toxicity import toxicity
 from .url_rules import ALLOW, BLOCK, HostRule, PatternRule, judge_urls
 
 HOST_RULES = (
@@ -53,6 +55,16 @@ def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_benchmark_items(spark: SparkSession, folder: str) -> DataFrame:
+    return contained_items(read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"))
+
+
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    scored = toxicity(docs, read_table(spark, folder, "labels"))
+    return scored.select("doc_id", "p_poor", "p_toxic", "is_toxic")
+
+
 def op7_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     pages = read_table(spark, folder, "pages").select("page_id", "url")
     judged = judge_urls(pages, "url", HOST_RULES, PATTERN_RULES)
@@ -61,5 +73,7 @@ def op7_url_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_personal_data": op3_personal_data,
+    "op4_benchmark_items": op4_benchmark_items,
+    "op8_toxicity": op8_toxicity,
     "op7_url_rules": op7_url_rules,
 }

@@ -100,8 +100,7 @@ def rule_index(urls: DataFrame, url: str, rules: Sequence[PatternRule]) -> DataF
     )
     table = table.withColumn("token", F.explode("tokens")).drop("tokens")
     held = urls.select(F.explode(url_tokens(F.col(url))).alias("token"))
-    wanted = table.select("token").distinct()
-    counts = held.join(wanted, "token", "left_semi").groupBy("token").agg(F.count("*").alias("n"))
+    counts = held.groupBy("token").agg(F.count("*").alias("n"))
     ranked = table.join(counts, "token", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     return ranked.groupBy("verdict", "pattern", "regex").agg(
         F.min(F.struct("n", "token"))["token"].alias("token")
