@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .common import read_table
 from .decontaminate import contained_items
 from .pii import KINDS, find_personal_data, span_list
+from .simhash import near_duplicates
 from .toxicity import toxicity
 from .url_rules import ALLOW, BLOCK, HostRule, PatternRule, judge_urls
 
@@ -38,6 +39,12 @@ PATTERN_RULES = (
 )
 
 
+def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return near_duplicates(docs).select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 def op3_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
     found = find_personal_data(docs)
@@ -72,6 +79,7 @@ def op7_url_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_near_duplicates": op2_near_duplicates,
     "op3_personal_data": op3_personal_data,
     "op4_benchmark_items": op4_benchmark_items,
     "op8_toxicity": op8_toxicity,
