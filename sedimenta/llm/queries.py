@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .common import read_table
 from .decontaminate import contained_items
+from .huffman import read_token_file, write_token_file
+from .packing import packed
 from .pii import KINDS, find_personal_data, span_list
 from .simhash import near_duplicates
+from .tokens import vocabulary
 from .toxicity import toxicity
 from .url_rules import ALLOW, BLOCK, HostRule, PatternRule, judge_urls
 
@@ -72,6 +76,22 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", "p_poor", "p_toxic", "is_toxic")
 
 
+def op6_token_file(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    path = scratch_path(spark, "token-file")
+    write_token_file(docs, path, vocabulary("byte_bpe_50k.json"))
+    return read_token_file(spark, path).select(
+        "doc_id", "start",
+        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    return packed(docs, vocabulary("word_bpe_49k.json"))
+
+
 def op7_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     pages = read_table(spark, folder, "pages").select("page_id", "url")
     judged = judge_urls(pages, "url", HOST_RULES, PATTERN_RULES)
@@ -83,5 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_personal_data": op3_personal_data,
     "op4_benchmark_items": op4_benchmark_items,
     "op8_toxicity": op8_toxicity,
+    "op6_token_file": op6_token_file,
+    "op10_packing": op10_packing,
     "op7_url_rules": op7_url_rules,
 }
