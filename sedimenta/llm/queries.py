@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .ann import nearest
 from .common import read_table
 from .decontaminate import contained_items
 from .huffman import read_token_file, write_token_file
@@ -76,6 +77,11 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select("doc_id", "p_poor", "p_toxic", "is_toxic")
 
 
+def op5_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = read_table(spark, folder, "embeddings")
+    return nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
 def op6_token_file(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
     path = scratch_path(spark, "token-file")
@@ -103,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_personal_data": op3_personal_data,
     "op4_benchmark_items": op4_benchmark_items,
     "op8_toxicity": op8_toxicity,
+    "op5_nearest": op5_nearest,
     "op6_token_file": op6_token_file,
     "op10_packing": op10_packing,
     "op7_url_rules": op7_url_rules,
