@@ -12,6 +12,7 @@ from .ann import nearest
 from .common import read_table
 from .decontaminate import contained_items
 from .huffman import read_token_file, write_token_file
+from .main_text import main_text
 from .packing import packed
 from .pii import KINDS, find_personal_data, span_list
 from .simhash import near_duplicates
@@ -93,6 +94,13 @@ def op6_token_file(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    found = main_text(read_table(spark, folder, "pages"))
+    return found.select(
+        "row.page_id", "row.url", "text", F.char_length("text").cast("long").alias("n_chars")
+    )
+
+
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
     return packed(docs, vocabulary("word_bpe_49k.json"))
@@ -111,6 +119,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op5_nearest": op5_nearest,
     "op6_token_file": op6_token_file,
+    "op9_main_text": op9_main_text,
     "op10_packing": op10_packing,
     "op7_url_rules": op7_url_rules,
 }
