@@ -15,6 +15,7 @@ from .huffman import read_token_file, write_token_file
 from .main_text import main_text
 from .packing import packed
 from .pii import KINDS, find_personal_data, span_list
+from .repeats import without_repeats
 from .simhash import near_duplicates
 from .tokens import vocabulary
 from .toxicity import toxicity
@@ -45,6 +46,19 @@ PATTERN_RULES = (
 )
 
 
+def op1_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    spans = F.col("spans")
+    return without_repeats(docs).select(
+        "row.doc_id", "n_bytes",
+        F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"]).alias(
+            "n_removed"
+        ),
+        F.size(spans).cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
     digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
@@ -113,6 +127,7 @@ def op7_url_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_repeats": op1_repeats,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_personal_data": op3_personal_data,
     "op4_benchmark_items": op4_benchmark_items,
