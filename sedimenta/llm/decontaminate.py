@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import Step, ship_code
 
@@ -164,10 +165,9 @@ def contained_items(
     bitmaps = spark.sparkContext.broadcast(
         (_bitmap(index.where("sketch")), _bitmap(index))
     )
-    kind = docs.schema[key].dataType.simpleString()
-    hits = docs.select(F.col(f"`{key}`").alias("key"), "text").mapInArrow(
-        _document_hits(bitmaps), f"key {kind}, shingle string"
-    )
+    named = docs.select(F.col(f"`{key}`").alias("key"), "text")
+    schema = T.StructType([named.schema["key"]]).add("shingle", T.StringType())
+    hits = named.mapInArrow(_document_hits(bitmaps), schema)
     sizes = index.groupBy("item_id").agg(F.countDistinct("shingle").alias("n_shingles"))
     entries = index.groupBy("item_id", "shingle").agg(F.max("sketch").alias("sketch"))
     met = hits.join(entries.join(sizes, "item_id"), "shingle")
@@ -178,3 +178,11 @@ def contained_items(
     return counted.where(F.col("sketch") & (share >= threshold)).select(
         F.col("key").alias(key), "item_id", "n_shingles", "n_found", share.alias("containment")
     )
+
+
+def without_benchmark(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """``docs`` without the documents that hold an item; all columns and other rows stay."""
+    key = F.struct("doc_id", F.xxhash64("text")).alias("key")
+    found = contained_items(docs.select(key, "text"), items, "key").select("key").distinct()
+    rows = docs.select(key, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return rows.join(found, "key", "left_anti").select("row.*")

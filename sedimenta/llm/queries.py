@@ -61,7 +61,7 @@ def op1_repeats(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
-    digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    digits = F.lower(F.lpad(F.hex("f0"), 16, "0"))
     return near_duplicates(docs).select("doc_id", digits.alias("fingerprint"), "component_id")
 
 

@@ -1,106 +1,180 @@
-"""Near-duplicates by SimHash: 64-bit fingerprints that differ in few bits.
+"""Near-duplicates by SimHash: fingerprints that differ in few bits.
 
 Pivot distance tables: the distances of a fingerprint to fixed reference fingerprints are its
 coordinates, and two fingerprints whose coordinates differ by more than the radius anywhere cannot
-lie within it. Distances to references spread over all bits are near 32 for almost everyone, so
-they can discard pairs but not find any. Pairs are brought together by references of single bits,
-whose distances give those bits: of ``radius + 2`` blocks two are the same for any pair within the
-radius, so fingerprints meet under each pair of blocks. There the wide references discard, and the
-exact distance decides about the rest.
+lie within it. Distances to references spread over all bits are near half the bits for almost
+everyone, so they can discard pairs but not find any. Pairs are brought together by references of
+single bits, whose distances give those bits, under two kinds of keys:
+
+* :class:`Blocks` finds all pairs within the radius: of ``radius + 2`` blocks of bits two are the
+  same for any of them, and fingerprints meet under each pair of blocks.
+* :class:`Samples` is for radii that no exact key can serve: fingerprints meet under chosen bits,
+  many times over, and pairs within the radius are missed with a probability that is known.
+
+Under a key the wide references discard, and the exact distance decides about the rest.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import Step, ship_code
 from .components import connected_components
 
-BITS = 64
+WORD = 64
 SEED = 42
 
-# Reference fingerprints of the distance table.
+# Reference fingerprints of the distance table, one word each; longer ones repeat it.
 PIVOTS = np.random.default_rng(20).integers(0, 1 << 63, 24, dtype=np.uint64) * np.uint64(2)
 
 # Fingerprints under one key that are compared at once; more are dealt into tiles.
 TILE = 4096
 
 # Hashes whose bits are counted at once, and rows of a partition compared at once.
-COUNTED = 1 << 18
+COUNTED = 1 << 16
 ROWS = 1 << 17
 
 
-def fingerprint(text: str | None, shingle: int) -> int:
-    """SimHash over word shingles, repeats included, as an unsigned number.
+@dataclass(frozen=True)
+class Blocks:
+    """Keys that bring all pairs within ``radius`` together."""
+
+    radius: int = 4
+    words: int = 1
+
+    def keys(self, marks: np.ndarray) -> np.ndarray:
+        bits = _bits(marks)
+        n = self.radius + 2
+        cuts = [round(i * bits.shape[1] / n) for i in range(n + 1)]
+        blocks = [bits[:, a:b] for a, b in zip(cuts, cuts[1:])]
+        pairs = [np.concatenate(pair, axis=1) for pair in combinations(blocks, 2)]
+        return np.stack([_numbers(p, i) for i, p in enumerate(pairs)], axis=1)
+
+
+@dataclass(frozen=True)
+class Samples:
+    """``tables`` keys of ``width`` bits each, dealt out of all bits in several shuffled orders.
+
+    A pair that differs in a share ``d`` of its bits is missed with a probability of about
+    ``(1 - (1 - d) ** width) ** tables``: 1 in 100 at 15 %, 1 in 100,000 at 10 %. A key brings
+    ``n / 2 ** width`` strangers together, so much larger corpora need a larger ``width`` and,
+    for the same recall, more ``tables``.
+    """
+
+    radius: int = 40
+    words: int = 4
+    width: int = 16
+    tables: int = 64
+
+    def keys(self, marks: np.ndarray) -> np.ndarray:
+        bits = _bits(marks)
+        generator = np.random.default_rng(self.tables)
+        per_order = bits.shape[1] // self.width
+        orders = [generator.permutation(bits.shape[1]) for _ in range(-(-self.tables // per_order))]
+        chosen = np.concatenate([o[: per_order * self.width] for o in orders])
+        chosen = chosen.reshape(-1, self.width)[: self.tables]
+        return np.stack([_numbers(bits[:, c], i) for i, c in enumerate(chosen)], axis=1)
+
+
+def _bits(marks: np.ndarray) -> np.ndarray:
+    octets = marks.astype(">u8").view(np.uint8).reshape(len(marks), -1)
+    return np.unpackbits(octets, axis=1)
+
+
+def _numbers(bits: np.ndarray, table: int) -> np.ndarray:
+    """Bits as numbers, the number of their table on top."""
+    weights = 1 << np.arange(bits.shape[1] - 1, -1, -1)
+    return (bits.astype(np.int64) * weights).sum(axis=1) | table << 48
+
+
+def _further(hashes: np.ndarray, word: int) -> np.ndarray:
+    """Hashes of the same things that are independent of the given ones."""
+    if not word:
+        return hashes
+    x = hashes + np.uint64(word * 0x9E3779B97F4A7C15 % (1 << 64))
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def fingerprint(text: str | None, shingle: int, words: int = 1) -> list[int]:
+    """SimHash over word shingles, repeats included, as ``words`` unsigned numbers.
 
     A-Z are lower-cased, words are runs without ASCII white space. Fewer words than a shingle
     make one shingle; no words make zero.
     """
     import xxhash
 
-    words = (text or "").encode().lower().split()
-    if not words:
-        return 0
-    joined = b" ".join(words)
-    stops = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    found = (text or "").encode().lower().split()
+    if not found:
+        return [0] * words
+    joined = b" ".join(found)
+    stops = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) + 1) - 1
     starts = np.concatenate([[0], stops[:-1] + 1])
-    n = max(1, len(words) - shingle + 1)
-    last = min(shingle, len(words)) - 1
+    n = max(1, len(found) - shingle + 1)
+    last = min(shingle, len(found)) - 1
     pieces = map(slice, starts[:n].tolist(), stops[last:].tolist())
     hashes = map(xxhash.xxh64_intdigest, map(joined.__getitem__, pieces), repeat(SEED))
-    counts, left = np.zeros(BITS, np.int64), n
+    counts, left = np.zeros(WORD * words, np.int64), n
     while left:
         part = np.fromiter(hashes, np.uint64, min(left, COUNTED))
-        octets = part.astype(">u8").view(np.uint8).reshape(-1, 8)
-        counts += np.unpackbits(octets, axis=1).sum(axis=0, dtype=np.int64)
+        wide = np.stack([_further(part, w) for w in range(words)], axis=1)
+        counts += _bits(wide).sum(axis=0, dtype=np.int64)
         left -= len(part)
-    return int.from_bytes(np.packbits(2 * counts > n).tobytes(), "big")
+    octets = np.packbits(2 * counts > n)
+    return octets.view(">u8").tolist()
 
 
-def _fingerprints(shingle: int):
+def _fingerprints(shingle: int, words: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = [fingerprint(t.as_py(), shingle) for t in batch["text"]]
-            signed = np.array(marks, np.uint64).view(np.int64)
+            marks = [fingerprint(t.as_py(), shingle, words) for t in batch["text"]]
+            signed = np.array(marks, np.uint64).reshape(-1, words).view(np.int64)
+            columns = [pa.array(np.ascontiguousarray(signed[:, w])) for w in range(words)]
             yield pa.RecordBatch.from_arrays(
-                [batch["key"], pa.array(signed)], ["key", "fingerprint"]
+                [batch["key"], *columns], ["key", *(f"f{w}" for w in range(words))]
             )
 
     return rows
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", shingle: int = 4) -> DataFrame:
-    """(key, fingerprint) for each document; the 64 bits are those of a signed long."""
+def fingerprints(docs: DataFrame, key: str, shingle: int, words: int) -> DataFrame:
+    """(key, f0, f1, ...) for each document; the bits of each word are those of a signed long."""
     ship_code(docs.sparkSession)
-    kind = docs.schema[key].dataType.simpleString()
-    marks = docs.select(F.col(f"`{key}`").alias("key"), "text").mapInArrow(
-        _fingerprints(shingle), f"key {kind}, fingerprint long"
-    )
-    return marks.withColumnRenamed("key", key)
+    named = docs.select(F.col(f"`{key}`").alias("key"), "text")
+    schema = T.StructType([named.schema["key"]])
+    for w in range(words):
+        schema = schema.add(f"f{w}", T.LongType())
+    return named.mapInArrow(_fingerprints(shingle, words), schema)
+
 
+def _keyed(search: Blocks | Samples, with_marks: bool):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [f"f{w}" for w in range(search.words)]
+        for batch in batches:
+            marks = np.stack([batch[c].to_numpy() for c in names], axis=1)
+            keys = search.keys(marks.view(np.uint64))
+            if not with_marks:
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel())], ["key"])
+                continue
+            row = pa.array(np.repeat(np.arange(len(keys)), keys.shape[1]))
+            held = [batch[c].take(row) for c in ("node", *names)]
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *held], ["key", "node", *names])
 
-def _block_keys(mark: Column, radius: int) -> Column:
-    """A number for each pair of blocks, holding the bits of both."""
-    n = radius + 2
-    cuts = [round(i * BITS / n) for i in range(n + 1)]
-    keys = []
-    for number, (i, j) in enumerate(combinations(range(n), 2)):
-        low = F.shiftrightunsigned(mark, cuts[i]).bitwiseAND((1 << cuts[i + 1] - cuts[i]) - 1)
-        high = F.shiftrightunsigned(mark, cuts[j]).bitwiseAND((1 << cuts[j + 1] - cuts[j]) - 1)
-        both = F.shiftleft(low, cuts[j + 1] - cuts[j]).bitwiseOR(high)
-        keys.append(F.shiftleft(F.lit(number).cast("long"), 56).bitwiseOR(both))
-    return F.array(*keys)
+    return rows
 
 
 def _linked(groups: np.ndarray, marks: np.ndarray, radius: int) -> np.ndarray:
     """For each row the first row it is connected to, within its group of equal numbers."""
-    table = np.bitwise_count(marks[:, None] ^ PIVOTS).astype(np.int8)
+    table = np.bitwise_count(marks[:, None, :] ^ PIVOTS[:, None]).sum(axis=2, dtype=np.int16)
     root = np.arange(len(marks))
     rows, shift = np.arange(len(marks)), 0
     while True:
@@ -113,7 +187,7 @@ def _linked(groups: np.ndarray, marks: np.ndarray, radius: int) -> np.ndarray:
         b = a + shift
         near = np.abs(table[a] - table[b]).max(axis=1, initial=0) <= radius
         a, b = a[near], b[near]
-        near = np.bitwise_count(marks[a] ^ marks[b]) <= radius
+        near = np.bitwise_count(marks[a] ^ marks[b]).sum(axis=1, dtype=np.int64) <= radius
         a, b = a[near], b[near]
         while len(a):
             x, y = root[a], root[b]
@@ -125,13 +199,12 @@ def _linked(groups: np.ndarray, marks: np.ndarray, radius: int) -> np.ndarray:
 
 
 def _spanning_links(radius: int):
-    """Rows sorted by group in; for each fingerprint a link to the first it is connected to."""
+    """Rows sorted by group in; for each node a link to the first it is connected to."""
 
-    def linked(parts: list[np.ndarray]) -> pa.RecordBatch:
-        rows = np.concatenate(parts)
+    def linked(rows: np.ndarray) -> pa.RecordBatch:
         change = (rows[1:, :3] != rows[:-1, :3]).any(axis=1)
         groups = np.concatenate([[0], np.cumsum(change)])
-        root = _linked(groups, rows[:, 3].view(np.uint64), radius)
+        root = _linked(groups, np.ascontiguousarray(rows[:, 4:]).view(np.uint64), radius)
         moved = np.flatnonzero(root != np.arange(len(root)))
         a, b = rows[moved, 3], rows[root[moved], 3]
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
@@ -141,73 +214,94 @@ def _spanning_links(radius: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            part = np.stack([c.to_numpy() for c in batch.columns], axis=1)
-            held.append(np.ascontiguousarray(part))
+            held.append(np.stack([c.to_numpy() for c in batch.columns], axis=1))
             if sum(map(len, held)) < ROWS:
                 continue
             # The last group may go on in the next batch.
             part = np.concatenate(held)
             ended = np.flatnonzero((part[:, :3] != part[-1, :3]).any(axis=1))
-            cut = ended[-1] + 1 if len(ended) else 0
+            cut = int(ended[-1]) + 1 if len(ended) else 0
             if cut:
-                yield linked([part[:cut]])
+                yield linked(part[:cut])
             held = [part[cut:]]
         if sum(map(len, held)):
-            yield linked(held)
+            yield linked(np.concatenate(held))
 
     return rows
 
 
-def near_links(marks: DataFrame, radius: int) -> DataFrame:
-    """Links (a, b) that connect all distinct fingerprints within the radius of each other.
+def near_links(marks: DataFrame, search: Blocks | Samples) -> DataFrame:
+    """Links (a, b) that connect the nodes whose fingerprints are found within the radius.
 
-    ``marks`` has distinct values in ``fingerprint``. Of a group that is connected anyway only a
-    spanning set of links comes out, never all pairs. A key that very many fingerprints share is
-    dealt into tiles, each pair of which is a group of its own.
+    ``marks`` has ``node``, a long, and distinct fingerprints ``f0``, ... Of a group that is
+    connected anyway only a spanning set of links comes out, never all pairs. A key that very
+    many fingerprints share is dealt into tiles, each pair of which is a group of its own.
     """
-    keyed = marks.select(
-        F.explode(_block_keys(F.col("fingerprint"), radius)).alias("key"), "fingerprint"
+    names = [f"f{w}" for w in range(search.words)]
+    only = marks.select(*names).mapInArrow(_keyed(search, False), "key long")
+    counted = only.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > TILE)
+    crowded = counted.select("key", F.ceil(F.col("n") / TILE).cast("long").alias("tiles"))
+    crowded = Step(crowded, "crowded").df
+    keyed = marks.select("node", *names).mapInArrow(
+        _keyed(search, True), "key long, node long, " + ", ".join(f"{c} long" for c in names)
     )
-    counted = keyed.groupBy("key").agg(F.count("*").alias("n"))
-    crowded = Step(
-        counted.where(F.col("n") > TILE).select("key", F.ceil(F.col("n") / TILE).alias("tiles")),
-        "crowded",
-    ).df
+    tiles = F.coalesce("tiles", F.lit(1).cast("long"))
     dealt = keyed.join(crowded, "key", "left").withColumns(
-        {
-            "tiles": F.coalesce("tiles", F.lit(1)),
-            "tile": F.pmod(F.xxhash64("fingerprint", F.lit(1)), F.coalesce("tiles", F.lit(1))),
-        }
+        {"tiles": tiles, "tile": F.pmod(F.xxhash64("node", F.lit(1)), tiles)}
     )
-    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
-        "key",
-        F.least("tile", "other").alias("low"),
-        F.greatest("tile", "other").alias("high"),
-        "fingerprint",
+    met = dealt.withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))
+    ).select(
+        "key", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"),
+        "node", *names,
     )
     group = ["key", "low", "high"]
     grouped = met.repartition(*group).sortWithinPartitions(*group)
-    return grouped.mapInArrow(_spanning_links(radius), "a long, b long")
+    return grouped.mapInArrow(_spanning_links(search.radius), "a long, b long")
 
 
 def near_duplicates(
-    docs: DataFrame, key: str = "doc_id", shingle: int = 4, radius: int = 4
+    docs: DataFrame, key: str = "doc_id", shingle: int = 4, search: Blocks | Samples = Blocks()
 ) -> DataFrame:
-    """(key, fingerprint, component_id) for each document.
+    """(key, component_id, f0, ...) for each document.
 
-    Documents are linked when their fingerprints differ in at most ``radius`` bits;
+    Documents are linked when their fingerprints are found to differ in at most ``radius`` bits;
     ``component_id`` is the smallest key that can be reached over links, itself included. A NULL
     or empty text has fingerprint zero and is linked like any other; a NULL key is never the
     smallest, unless there is no other. Copies share a fingerprint and enter the search once.
     Repeated rows come out as often as they are given.
     """
-    step = Step(fingerprints(docs, key, shingle), "fingerprints").df
-    distinct = step.groupBy("fingerprint").agg(F.min(f"`{key}`").alias("first"))
-    found = connected_components(near_links(distinct.select("fingerprint"), radius))
-    found = found.withColumnRenamed("node", "fingerprint")
-    rooted = distinct.join(found, "fingerprint", "left").withColumn(
-        "component", F.coalesce("component", "fingerprint")
+    names = [f"f{w}" for w in range(search.words)]
+    step = Step(fingerprints(docs, key, shingle, search.words), "fingerprints").df
+    distinct = step.groupBy(*names).agg(F.min("key").alias("first"))
+    nodes = Step(distinct.withColumn("node", F.monotonically_increasing_id()), "nodes").df
+    found = connected_components(near_links(nodes, search))
+    rooted = nodes.join(found, "node", "left").withColumn(
+        "component", F.coalesce("component", "node")
     )
     least = rooted.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = rooted.join(least, "component").select("fingerprint", "component_id")
-    return step.join(named, "fingerprint").select(F.col(f"`{key}`"), "fingerprint", "component_id")
+    named = rooted.join(least, "component").select(*names, "component_id")
+    return step.join(named, names).select(F.col("key").alias(key), "component_id", *names)
+
+
+# Documents whose shingles of five words are alike to 0.8 or more: their fingerprints of 256 bits
+# then differ in 38 bits on average.
+ALIKE = Samples()
+
+
+def without_near_duplicates(docs: DataFrame) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates: that of the smallest ``doc_id``.
+
+    Columns and texts stay as they are. Of repeated rows one stays; NULL and empty texts are
+    copies of one another; a NULL ``doc_id`` comes before all others.
+    """
+    columns = docs.columns
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))
+    step = Step(rows.withColumn("place", F.monotonically_increasing_id()), "rows").df
+    keyed = step.select(
+        F.struct(F.col("row.doc_id").alias("doc_id"), "place").alias("key"),
+        F.col("row.text").alias("text"),
+    )
+    found = near_duplicates(keyed, "key", shingle=5, search=ALIKE)
+    kept = found.where(F.col("key") == F.col("component_id")).select(F.col("key.place").alias("place"))
+    return step.join(kept, "place", "left_semi").select("row.*")

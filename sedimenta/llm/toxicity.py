@@ -180,6 +180,11 @@ CATEGORIES = ("poor", "toxic")
 REJECT = 0.5
 
 
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs`` without the documents that the chain calls toxic; all columns stay."""
+    return toxicity(docs, labels).where(~F.col("is_toxic")).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` with ``p_poor``, ``p_toxic`` and ``is_toxic``, from the chain over ``labels``."""
     judged = labels.select("doc_id", (1 - F.col("quality")).alias("poor"), F.col("toxic"))
