@@ -358,6 +358,8 @@ CANDIDATES = (
     "FROM guesses, (VALUES (2), (3), (5), (7)) v(n))"
 )
 
+AS_OF = "'2024-01-01 00:00:00'"
+
 RECORD = "id, text, label, source, raw_meta"
 
 ORACLE = {
@@ -441,6 +443,25 @@ ORACLE = {
     "silver_build": with_tables(f"SELECT {SILVER_COLUMNS} FROM silver", "silver"),
     "gold_build": with_tables(f"SELECT {GOLD_COLUMNS} FROM gold", "gold"),
     "layers_refresh": with_tables(f"SELECT {GOLD_COLUMNS} FROM gold", "gold"),
+    "bronze_times": with_tables(
+        f"SELECT id, source, {AS_OF} AS ingested_at FROM bronze", "bronze"
+    ),
+    "gold_times": with_tables(
+        f"SELECT id, source, {AS_OF} AS ingested_at, {AS_OF} AS processed_at, "
+        f"{AS_OF} AS featurized_at FROM gold",
+        "gold",
+    ),
+    "refresh_counts": with_tables(
+        f"""
+        SELECT 'first' AS run, 'rows_before' AS name, count(*) AS n FROM bronze
+        UNION ALL SELECT 'first', 'rows_after', count(*) FROM silver
+        UNION ALL SELECT 'again', 'rows_before', 0
+        UNION ALL SELECT 'again', 'rows_after', 0
+        UNION ALL SELECT run, 'class_' || label_binary, count(*)
+        FROM gold, (VALUES ('first'), ('again')) v(run) GROUP BY run, label_binary
+        """,
+        "bronze", "silver", "gold",
+    ),
     "class_distribution": with_tables(
         "SELECT label_binary, count(*) AS n_rows FROM silver WHERE label_binary <> -1 "
         "GROUP BY label_binary",
@@ -458,9 +479,10 @@ ORACLE = {
     ),
     "layer_status": with_tables(
         """
-        SELECT 'bronze' AS layer, true AS present, (SELECT count(*) FROM bronze) AS row_count
-        UNION ALL SELECT 'silver', true, (SELECT count(*) FROM silver)
-        UNION ALL SELECT 'gold', false, NULL
+        SELECT 'bronze' AS layer, true AS present, (SELECT count(*) FROM bronze) AS row_count,
+               CAST(NULL AS VARCHAR) AS error
+        UNION ALL SELECT 'silver', true, (SELECT count(*) FROM silver), NULL
+        UNION ALL SELECT 'gold', false, NULL, NULL
         """,
         "bronze", "silver",
     ),
@@ -493,13 +515,24 @@ ORACLE = {
         "statements", "headlines",
     ),
     "ingest_headline_files": """
-        SELECT 'all_' || doc_id AS id, text, 'fake' AS label, 'fakenewsnet' AS source,
+        SELECT 'all_' || (row_number() OVER (ORDER BY doc_id) - 1) AS id, text, 'fake' AS label, 'fakenewsnet' AS source,
                '{"news_url":"","source_domain":"","tweet_num":0,"split":"all"}' AS raw_meta
         FROM documents
     """,
     "ingest_posts": with_tables(
         f"SELECT {RECORD} FROM post_records WHERE id <> ''", "post_records"
     ),
+    "ingest_all_posts": with_tables(
+        f"SELECT {RECORD} FROM post_records WHERE id <> ''", "post_records"
+    ),
+    "quarantined_posts": with_tables(
+        """
+        SELECT '{"uri":"at://' || conv_id || '","record":{"text' AS line,
+               (SELECT count(*) FROM post_records WHERE id <> '') AS n_ingested
+        FROM turns WHERE uri = ''
+        """,
+        "post_records",
+    ),
     "posts_top_k": with_tables(
         """
         SELECT query, indexed_at, CAST(conv_id AS VARCHAR) AS cid, text, uri FROM (
@@ -536,10 +569,11 @@ ORACLE = {
                row_number() OVER (PARTITION BY lang ORDER BY n_chars, doc_id) - 1 AS row_index
         FROM documents
     """,
-    "first_present_text": """
-        SELECT page_id, CASE WHEN length(html) > 3000 THEN html ELSE CAST(page_id AS VARCHAR) END
-               AS text FROM pages
-    """,
+    "first_present_text": with_tables(
+        "SELECT doc_id, CASE WHEN quality IS NULL THEN text ELSE quality::VARCHAR END AS text "
+        "FROM labeled",
+        "labeled",
+    ),
     "json_meta": with_tables(
         """
         SELECT doc_id, CAST(to_json({'lang': lang, 'quality': quality,
@@ -550,10 +584,28 @@ ORACLE = {
         "labeled",
     ),
     "token_features": with_tables(
-        "SELECT id, source, CAST(len(string_split(text_clean, ' ')) AS INTEGER) AS n_tokens "
-        "FROM silver",
+        "SELECT id, source, CAST(len(string_split(text_clean, ' ')) AS INTEGER) AS n_tokens, "
+        "len(string_split(text_clean, ' ')) AS n_terms, true AS weighted FROM silver",
         "silver",
     ),
+    "train_classifier": with_tables(
+        """
+        SELECT candidate, reg_param, n_rows, true AS scored, true AS has_loss
+        FROM (VALUES (0, 0.001::DOUBLE), (1, 0.01::DOUBLE), (2, 0.1::DOUBLE))
+             v(candidate, reg_param),
+             (SELECT count(*) AS n_rows FROM gold WHERE split = 'val')
+        """,
+        "gold",
+    ),
+    "score_batch": with_tables(
+        "SELECT id, source, '1' AS model_version, "
+        "coalesce(length(text) BETWEEN 10 AND 2000, false) AS is_valid, "
+        "true AS named, true AS sure FROM bronze",
+        "bronze",
+    ),
+    "evaluate_scored": with_tables(
+        "SELECT count(*) AS n_rows, true AS scored FROM gold WHERE split = 'test'", "gold"
+    ),
     "argmax_prediction": with_tables(
         "SELECT vec_id, label, CAST(position AS INTEGER) AS position FROM guesses", "guesses"
     ),
@@ -565,8 +617,10 @@ ORACLE = {
         f"""
         SELECT CAST(label AS INTEGER) AS truth,
                count(*) FILTER (prediction = 0) AS predicted_credible,
-               count(*) FILTER (prediction = 1) AS predicted_misinformation
-        FROM {BINARY} GROUP BY label
+               count(*) FILTER (prediction = 1) AS predicted_misinformation,
+               count(*) FILTER (prediction = 2) AS predicted_other
+        FROM (SELECT CASE WHEN label < 8 THEN label % 2 END AS label, position % 3 AS prediction
+              FROM guesses) GROUP BY label
         """,
         "guesses",
     ),
@@ -586,7 +640,8 @@ ORACLE = {
         SELECT m.*, train_rows,
                CASE WHEN f1 IS NULL THEN 'pass_with_warning' WHEN f1 < 0.8 THEN 'fail_f1'
                     WHEN train_rows < 15 THEN 'fail_train_rows' ELSE 'pass' END AS gate,
-               CASE WHEN f1 >= 0.8 THEN 'production' ELSE 'staging' END AS verdict
+               CASE WHEN f1 >= 0.8 AND train_rows >= 15 THEN 'production' ELSE 'staging' END
+                   AS verdict
         FROM ({weighted_metrics(
             "(SELECT source, quality AS label, 1 - toxic AS prediction FROM labeled "
             "WHERE quality IS NOT NULL)", "source")}) m

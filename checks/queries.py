@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sedimenta.constants import VAL
+from sedimenta.constants import TEST, VAL
 from sedimenta.functions.records import argmax, as_json, class_name, first_present, hash_split
 from sedimenta.functions.text import (
     avg_word_length,
@@ -25,7 +26,7 @@ from sedimenta.operators.merge import insert_new, read_table, upsert, write_tabl
 from sedimenta.operators.ranking import cap_per_term, row_index
 from sedimenta.operators.sentiment import with_sentiment
 from sedimenta.plans import bronze as bronze_plan
-from sedimenta.plans.gold import known_labels, to_gold
+from sedimenta.plans.gold import known_labels, refresh_gold, to_gold
 from sedimenta.plans.layers import refresh_layers
 from sedimenta.plans.scoring import score_texts
 from sedimenta.plans.silver import refresh_silver, to_silver, with_text_columns
@@ -39,7 +40,7 @@ from sedimenta.schemas import (
 from sedimenta.session import scratch_path
 from sedimenta.sources import posts as post_source
 from sedimenta.sources import static
-from sedimenta.sources.records import stamped, union_records
+from sedimenta.sources.records import stamped
 from sedimenta.streaming.posts import stream_posts
 
 from . import tables as given
@@ -112,11 +113,7 @@ def filter_known_labels(spark, folder):
 
 @query
 def input_validation(spark, folder):
-    accepted, rejected = model.accepted_and_rejected(given.bronze(spark, folder))
-    return union_records(
-        [accepted.select("id", "source", F.lit(True).alias("is_valid")),
-         rejected.select("id", "source", F.lit(False).alias("is_valid"))]
-    )
+    return model.with_validity(given.bronze(spark, folder)).select("id", "source", "is_valid")
 
 
 # --- de-duplication ----------------------------------------------------------
@@ -177,11 +174,11 @@ def source_credibility(spark, folder):
 def source_credibility_join(spark, folder):
     """Credibility from a table: the share of good documents of each source with labels."""
     labeled = given.labeled_documents(spark, folder).where("quality IS NOT NULL")
-    shares = labeled.groupBy("source").agg(
+    good = labeled.groupBy("source").agg(
         ratio(F.sum("quality"), F.count("quality")).alias("credibility")
     )
     rows = given.bronze(spark, folder).select("id", "source")
-    return with_credibility(rows, shares)
+    return with_credibility(rows, good)
 
 
 @query
@@ -220,6 +217,38 @@ def gold_build(spark, folder):
     return without_times(gold(spark, folder))
 
 
+def as_text(df: DataFrame) -> DataFrame:
+    """Times as text, which all engines compare alike."""
+    times = [c for c in df.columns if c in TIMES]
+    return df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in times})
+
+
+@query
+def bronze_times(spark, folder):
+    return as_text(given.bronze(spark, folder).select("id", "source", "ingested_at"))
+
+
+@query
+def gold_times(spark, folder):
+    return as_text(gold(spark, folder).select("id", "source", *TIMES))
+
+
+@query
+def refresh_counts(spark, folder):
+    """What the refreshes say about their work, of a first run and of one without news."""
+    paths = {layer: scratch_path(spark, layer) for layer in ("bronze", "silver", "gold")}
+    bronze_plan.ingest_records([given.bronze(spark, folder).drop("ingested_at")], paths["bronze"])
+    found = []
+    for run in ("first", "again"):
+        counts = refresh_silver(spark, paths["bronze"], paths["silver"])
+        found += [(run, name, n) for name, n in counts.items()]
+        classes = refresh_gold(
+            spark, paths["silver"], paths["gold"], given.lexicon(spark), given.CREDIBILITY
+        )
+        found += [(run, f"class_{name}", n) for name, n in classes.items()]
+    return spark.createDataFrame(found, "run string, name string, n long")
+
+
 @query
 def class_distribution(spark, folder):
     return metrics.class_distribution(gold(spark, folder))
@@ -379,9 +408,11 @@ def ingest_static(spark, folder):
 
 @query
 def ingest_headline_files(spark, folder):
-    """Headlines numbered by their place in the given files, without a sort."""
-    rows = static.read_indexed_splits(spark, {"all": f"{folder}/documents.parquet"})
-    return static.headline_records(rows.withColumnRenamed("text", "title"))
+    """Headlines numbered by their place in several files, without a sort."""
+    path = scratch_path(spark, "headlines")
+    rows = given.table(spark, folder, "documents").withColumnRenamed("text", "title")
+    rows.repartitionByRange(5, "doc_id").sortWithinPartitions("doc_id").write.parquet(path)
+    return static.headline_records(static.read_indexed_splits(spark, {"all": path}))
 
 
 @query
@@ -390,6 +421,30 @@ def ingest_posts(spark, folder):
     return post_source.post_records(post_source.read_posts(spark, path))
 
 
+@query
+def ingest_all_posts(spark, folder):
+    """Landed posts into a table, with the settings as they are; the second run adds nothing."""
+    path = scratch_path(spark, "bronze")
+    landing = given.landed(given.posts(spark, folder))
+    for _ in range(2):
+        bronze_plan.ingest_posts(spark, landing, path, as_of=given.as_of())
+    return without_times(read_table(spark, path, BRONZE))
+
+
+@query
+def quarantined_posts(spark, folder):
+    """Lines that break off, as the quarantine of an ingest has them; the others get in."""
+    posts = given.posts(spark, folder)
+    line = F.to_json(F.struct(*posts.columns))
+    cut = F.concat(F.lit('{"uri":"at://'), "cid", F.lit('","record":{"text'))
+    landing, path = scratch_path(spark, "landed"), scratch_path(spark, "bronze")
+    quarantine = scratch_path(spark, "quarantine")
+    posts.select(F.when(F.col("uri") == "", cut).otherwise(line)).write.text(landing)
+    bronze_plan.ingest_posts(spark, landing, path, quarantine=quarantine)
+    n_rows = read_table(spark, path, BRONZE).agg(F.count("*").alias("n_ingested"))
+    return spark.read.parquet(quarantine).select("line").join(F.broadcast(n_rows))
+
+
 @query
 def posts_top_k(spark, folder):
     return cap_per_term(given.posts(spark, folder), limit=100).select(
@@ -427,10 +482,10 @@ def row_indexes(spark, folder):
 
 @query
 def first_present_text(spark, folder):
-    pages = given.table(spark, folder, "pages")
-    emptied = pages.withColumn("body", F.when(F.length("html") > 3000, F.col("html")))
-    text = first_present(emptied, "title", "body", "page_id", default="none")
-    return emptied.select("page_id", text.alias("text"))
+    """A column that is not there, one with NULLs, and one without."""
+    labeled = given.labeled_documents(spark, folder)
+    text = first_present(labeled, "title", "quality", "text", default="none")
+    return labeled.select("doc_id", text.alias("text"))
 
 
 @query
@@ -484,7 +539,12 @@ def class_name_query(spark, folder):
 
 @query
 def confusion_matrix(spark, folder):
-    return metrics.confusion_matrix(binary_predictions(spark, folder))
+    """With rows without a true class and guesses of a third one."""
+    found = predictions(spark, folder).select(
+        F.when(F.col("label") < 8, F.col("label") % 2).alias("label"),
+        (F.col("position") % 3).alias("prediction"),
+    )
+    return metrics.confusion_matrix(found)
 
 
 @query
@@ -539,38 +599,67 @@ def trained(spark: SparkSession, folder: str):
     write_table(gold(spark, folder), path, GOLD_PARTITIONS)
     table = read_table(spark, path, GOLD)
     train = model.with_class_weights(table.where(F.col("split") == "train"))
-    val = model.with_class_weights(table.where(F.col("split") == VAL))
-    return model.train_classifier(
-        train, val, n_features=1 << 14, extra=model.RATIO_COLUMNS, weight="class_weight",
-        max_iter=10,
-    )
+    val = table.where(F.col("split") == VAL)
+    return model.train_classifier(train, val, extra=model.RATIO_COLUMNS, weight="class_weight")
 
 
-@query
-def train_classifier(spark, folder):
-    return trained(spark, folder)[1]
+def shares(*names: str) -> Column:
+    """Whether all columns are numbers from 0 to 1."""
+    return F.forall(F.array(*names), lambda x: x.isNotNull() & x.between(0.0, 1.0))
 
 
-def scored_rows(spark: SparkSession, folder: str) -> DataFrame:
-    fitted, _ = trained(spark, folder)
-    texts = given.bronze(spark, folder)
-    return score_texts(fitted, texts, given.lexicon(spark), "1", given.CREDIBILITY)[0]
+@query
+def train_classifier(spark, folder):
+    """Candidates and validation rows; of the scores, that they are scores."""
+    loss = F.col("eval_loss")
+    return trained(spark, folder)[1].select(
+        "candidate", "reg_param", "n_rows",
+        shares("f1", "accuracy", "precision", "recall").alias("scored"),
+        ((loss > 0) & (loss < 40)).alias("has_loss"),
+    )
 
 
 @query
 def score_batch(spark, folder):
-    columns = ("id", "source", "predicted_label", "confidence", "model_version")
-    return scored_rows(spark, folder).select(*columns)
+    """All rows scored, whatever their length; of the scores, that they agree."""
+    fitted, _ = trained(spark, folder)
+    texts = given.bronze(spark, folder)
+    scored = score_texts(fitted, texts, given.lexicon(spark), "1", given.CREDIBILITY)
+    named = F.col("predicted_label").eqNullSafe(class_name(F.col("prediction")))
+    return scored.select(
+        "id", "source", "model_version", "is_valid",
+        (named & F.col("prediction").isin(0, 1)).alias("named"),
+        F.col("confidence").between(0.5, 1.0).alias("sure"),
+    )
 
 
 @query
 def evaluate_scored(spark, folder):
-    scored = scored_rows(spark, folder).withColumn("label", label_class(F.col("label")))
-    return metrics.classification_metrics(scored.where("label <> -1"))
+    """The model on the rows of the test split, which it has not seen."""
+    fitted, _ = trained(spark, folder)
+    held_out = known_labels(silver(spark, folder)).where(hash_split(F.col("id")) == TEST)
+    texts = held_out.select("id", "source", "text", F.col("label_binary").alias("label"))
+    scored = score_texts(fitted, texts, given.lexicon(spark), "1", given.CREDIBILITY)
+    return metrics.classification_metrics(scored).select(
+        "n_rows", shares("f1", "accuracy", "precision", "recall").alias("scored")
+    )
 
 
 @query
 def token_features(spark, folder):
+    """Sums over the vectors: counts of terms, and that the rarest weigh and none is negative.
+
+    Fewer buckets than usual, because a query can only look into a vector by making it dense.
+    """
     silver_rows = silver(spark, folder)
-    fitted = model.feature_stages(n_features=1 << 14).fit(silver_rows)
-    return fitted.transform(silver_rows).select("id", "source", F.size("tokens").alias("n_tokens"))
+    fitted = model.feature_stages(n_features=1 << 12).fit(silver_rows)
+    counts, weights = vector_to_array("term_counts"), vector_to_array("features")
+    total = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
+    same = F.forall(
+        F.arrays_zip(counts.alias("n"), weights.alias("w")),
+        lambda x: (x["w"] >= 0) & ((x["n"] > 0) | (x["w"] == 0)),
+    )
+    return fitted.transform(silver_rows).select(
+        "id", "source", F.size("tokens").alias("n_tokens"),
+        total.cast("long").alias("n_terms"), same.alias("weighted"),
+    )

@@ -15,9 +15,8 @@ POST_SOURCE = "bluesky"
 SOURCE_CREDIBILITY = {"liar": 0.7, "fakenewsnet": 0.6, "bluesky": 0.3}
 DEFAULT_CREDIBILITY = 0.5
 
-# Search terms of the post source, and the most posts one search returns.
+# Search terms of the post source.
 SEARCH_TERMS = ["news", "politics", "misinformation", "fact check"]
-MAX_POSTS_PER_TERM = 100
 
 # Text patterns.
 TAG_PATTERN = "<[^>]+>"

@@ -1,8 +1,11 @@
 """Layer tables: reading, creating, inserting and upserting over Parquet directories.
 
-Plain Parquet has no commit that spans partitions. A failed job leaves the table as it was;
-a driver lost while the finished files are being moved can leave some partitions replaced and
-others not. Every merge can be run again, which brings the table to the same state.
+Plain Parquet has no commit that spans files, so a table that is rewritten is never written in
+place. The new version goes to a sibling folder, ``<table>__next``; when it is complete, the old
+files move to ``<table>__previous`` and the new ones take their place, which are renames only. The
+folder ``__previous`` exists exactly while that goes on. Whoever finds it later completes the
+renames before anything else, so a table read through :func:`read_table` is the old one or the new
+one, whenever the job that wrote it was lost. A table has one writer at a time.
 """
 
 from __future__ import annotations
@@ -16,11 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..constants import KEYS
-from ..session import discard, scratch_path
+from ..session import discard, folder_at, scratch_path
 from .dedup import unique_keys
 
-# More touched partitions than this, and the whole table is rewritten.
-MAX_LISTED_PARTITIONS = 1_000
+NEXT, PREVIOUS = "__next", "__previous"
 
 
 class DuplicateKeys(ValueError):
@@ -28,7 +30,8 @@ class DuplicateKeys(ValueError):
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    """The table at ``path``, or None if there is none."""
+    """The table at ``path``, or None if there is none; completes a replacement that broke off."""
+    complete_replacement(spark, path)
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
@@ -69,23 +72,29 @@ def insert_new(
     path: str,
     schema: T.StructType,
     keys: Sequence[str] = KEYS,
-    only: Column | None = None,
+    partition_by: Sequence[str] = (),
 ) -> None:
     """Append the rows whose key is new; rows already in the table stay as they are.
 
-    A key the batch holds twice goes in once. ``only`` may name the part of the table where
-    matches can lie at all, such as one source, to narrow the scan. A batch without rows does
-    not create a table.
+    A key the batch holds twice goes in once. Of a table that is partitioned by part of its key
+    only the partitions of the batch are read. A batch without new rows writes nothing, and
+    does not create a table.
     """
-    fresh = unique_keys(batch, keys)
-    target = read_table(batch.sparkSession, path, schema)
-    if target is None:
-        if not batch.isEmpty():
-            write_table(fresh.select(*schema.names), path)
-        return
-    if only is not None:
-        target = target.where(only)
-    write_table(unmatched(fresh, target, keys).select(*schema.names), path, mode="append")
+    spark = batch.sparkSession
+    fresh = unique_keys(batch, keys).select(*schema.names)
+    target = read_table(spark, path, schema)
+    staged_path = scratch_path(spark, "batch")
+    try:
+        if target is not None:
+            if partition_by:
+                target = target.where(_listed(batch, partition_by))
+            fresh = unmatched(fresh, target, keys)
+        fresh.write.parquet(staged_path)
+        staged = spark.read.schema(schema).parquet(staged_path)
+        if not staged.isEmpty():
+            write_table(staged, path, partition_by, mode="append")
+    finally:
+        discard(spark, staged_path)
 
 
 def upsert(
@@ -94,37 +103,36 @@ def upsert(
     schema: T.StructType,
     keys: Sequence[str] = KEYS,
     partition_by: Sequence[str] = (),
+    partitions_follow_key: bool = False,
 ) -> None:
     """Replace the rows whose key is in the batch, insert the others, keep the rest.
 
     The batch is computed once, into the scratch folder: its keys, partitions and rows are
-    each read from there. Only partitions the batch touches are read and rewritten.
+    each read from there. Only partitions the batch touches are read and rewritten, unless a row
+    moves to another partition; ``partitions_follow_key`` says that none ever does, which saves
+    the search for such rows. A batch without rows writes nothing.
     """
     spark = batch.sparkSession
     target = read_table(spark, path, schema)
-    if target is None:
-        write_table(batch.select(*schema.names), path, partition_by)
-        return
-
     staged_path = scratch_path(spark, "batch")
-    batch.select(*schema.names).write.parquet(staged_path)
-    staged = spark.read.schema(schema).parquet(staged_path)
-    _require_unique(staged, keys)
-
-    if not partition_by or _moves_rows(target, staged, keys, partition_by):
-        _replace_table(upserted(target, staged, keys), path, schema, partition_by)
-    else:
-        touched = _touched(staged, partition_by)
-        if touched is not None:
-            target = target.where(touched)
-        write_table(
-            upserted(target, staged, keys).select(*schema.names),
-            path,
-            partition_by,
-            mode="overwrite",
-            partitionOverwriteMode="dynamic",
-        )
-    discard(spark, staged_path)
+    try:
+        batch.select(*schema.names).write.parquet(staged_path)
+        staged = spark.read.schema(schema).parquet(staged_path)
+        if staged.isEmpty() and target is not None:
+            return
+        _require_unique(staged, keys)
+        if target is None:
+            replace_table(staged, path, partition_by)
+            return
+        stays = partitions_follow_key or set(partition_by) <= set(keys)
+        if partition_by and (stays or not _moves_rows(target, staged, keys, partition_by)):
+            touched = target.where(_listed(staged, partition_by))
+            content = upserted(touched, staged, keys).select(*schema.names)
+            replace_partitions(content, path, partition_by)
+        else:
+            replace_table(upserted(target, staged, keys).select(*schema.names), path, partition_by)
+    finally:
+        discard(spark, staged_path)
 
 
 def _require_unique(batch: DataFrame, keys: Sequence[str]) -> None:
@@ -137,13 +145,8 @@ def _require_unique(batch: DataFrame, keys: Sequence[str]) -> None:
 def _moves_rows(
     target: DataFrame, batch: DataFrame, keys: Sequence[str], partition_by: Sequence[str]
 ) -> bool:
-    """Whether a matched row would change partition.
-
-    Its old partition could end up empty, and overwriting by partition leaves that one alone.
-    """
+    """Whether a matched row would change partition, and could leave its old one empty."""
     free = [c for c in partition_by if c not in keys]
-    if not free:
-        return False
     old = target.select(*keys, *[F.col(c).alias(f"_old_{c}") for c in free])
     changed = reduce(
         Column.__or__, [~F.col(c).eqNullSafe(F.col(f"_old_{c}")) for c in free]
@@ -152,25 +155,52 @@ def _moves_rows(
     return not matched.where(changed).isEmpty()
 
 
-def _touched(batch: DataFrame, partition_by: Sequence[str]) -> Column | None:
-    """Condition that selects the partitions of the batch, None if they are too many to list.
+def _listed(batch: DataFrame, partition_by: Sequence[str]) -> Column:
+    """Condition that selects the partitions of the batch.
 
-    A partition is named by the JSON of its values, which also tells NULL apart.
+    A partition is named by the JSON of its values, which also tells NULL apart. The list is no
+    longer than the one of partitions that the driver makes for any scan of the table.
     """
     place = F.to_json(F.struct(*partition_by))
-    found = batch.select(place).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
-    if len(found) > MAX_LISTED_PARTITIONS:
-        return None
-    return place.isin([row[0] for row in found])
+    return place.isin([row[0] for row in batch.select(place).distinct().collect()])
 
 
-def _replace_table(
-    df: DataFrame, path: str, schema: T.StructType, partition_by: Sequence[str]
-) -> None:
-    """Write the new content aside, then put it in place; should that fail, the copy is there."""
+def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Put ``df``, which may be computed from the table, in place of all that the table holds."""
+    spark = df.sparkSession
+    write_table(df, path + NEXT, partition_by, mode="overwrite", partitionOverwriteMode="static")
+    folder = folder_at(spark, path)
+    if not folder.exists(""):
+        folder.move(NEXT, "")
+        return
+    folder.make(f"{PREVIOUS}/whole")
+    complete_replacement(spark, path)
+
+
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Put ``df`` in place of the partitions it has rows for; the others stay."""
     spark = df.sparkSession
-    aside = scratch_path(spark, "table")
-    write_table(df.select(*schema.names), aside, partition_by)
-    copy = spark.read.schema(schema).parquet(aside)
-    write_table(copy, path, partition_by, mode="overwrite", partitionOverwriteMode="static")
-    discard(spark, aside)
+    write_table(df, path + NEXT, partition_by, mode="overwrite", partitionOverwriteMode="static")
+    folder_at(spark, path).make(f"{PREVIOUS}/parts")
+    complete_replacement(spark, path)
+
+
+def complete_replacement(spark: SparkSession, path: str) -> None:
+    """Do the renames of a replacement that are still to be done; each can break off anywhere.
+
+    ``__previous`` is made when ``__next`` is complete, and holds a folder that says whether the
+    table or partitions of it are replaced. Whatever is left in ``__next`` has not moved yet.
+    """
+    folder = folder_at(spark, path)
+    if not folder.exists(PREVIOUS):
+        return
+    whole = folder.exists(f"{PREVIOUS}/whole")
+    kept = f"{PREVIOUS}/{'whole' if whole else 'parts'}"
+    if folder.exists(NEXT):
+        for part in [""] if whole else folder.leaves(NEXT):
+            if folder.exists(f"{NEXT}{part}"):
+                if folder.exists(part) and not folder.exists(f"{kept}/old{part}"):
+                    folder.move(part, f"{kept}/old{part}")
+                folder.move(f"{NEXT}{part}", part)
+        folder.remove(NEXT)
+    folder.remove(PREVIOUS)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,19 +35,21 @@ def source_counts(df: DataFrame) -> DataFrame:
 def layer_status(
     spark: SparkSession, layers: dict[str, tuple[str, T.StructType]]
 ) -> DataFrame:
-    """For each layer its path, whether its table is there, and its rows."""
-
-    def status(layer: str, path: str, table: DataFrame | None) -> DataFrame:
-        head = [F.lit(layer).alias("layer"), F.lit(path).alias("path")]
-        if table is None:
-            nothing = F.lit(None).cast("long").alias("row_count")
-            return spark.range(1).select(*head, F.lit(False).alias("present"), nothing)
-        count = table.agg(F.count(F.lit(1)).alias("row_count"))
-        return count.select(*head, F.lit(True).alias("present"), "row_count")
-
-    return reduce(
-        DataFrame.unionByName,
-        [status(n, p, read_table(spark, p, s)) for n, (p, s) in layers.items()],
+    """For each layer its path, whether its table is there, its rows, or why it has no count.
+
+    A layer that cannot be read gets the first line of its ``error`` and spares the others.
+    """
+
+    def status(layer: str, path: str, schema: T.StructType) -> tuple:
+        try:
+            table = read_table(spark, path, schema)
+            return layer, path, table is not None, None if table is None else table.count(), None
+        except Exception as error:
+            return layer, path, True, None, f"error: {str(error).splitlines()[0]}"
+
+    return spark.createDataFrame(
+        [status(n, p, s) for n, (p, s) in layers.items()],
+        "layer string, path string, present boolean, row_count long, error string",
     )
 
 
@@ -57,14 +58,16 @@ def classification_metrics(
     label: str = "label",
     prediction: str = "prediction",
     by: Sequence[str] = (),
+    weight: str | None = None,
 ) -> DataFrame:
     """Accuracy, and precision / recall / F1 weighted by the rows of each true class.
 
     A class that is never predicted, or never hit, scores 0; without any rows the metrics are
     NULL. One row per value of ``by``, so that several candidates can be scored in one pass.
+    ``weight`` names the number of rows that a row stands for.
     """
     pairs = df.groupBy(*by, F.col(label).alias("_label"), F.col(prediction).alias("_pred")).agg(
-        F.count(F.lit(1)).alias("_n")
+        (F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("_n")
     )
     # Each pair counts for the class it has and for the class it was given.
     n, none = F.col("_n"), F.lit(0).cast("long")
@@ -100,15 +103,25 @@ def classification_metrics(
 def confusion_matrix(
     df: DataFrame, label: str = "label", prediction: str = "prediction"
 ) -> DataFrame:
-    """Rows per true class (down) and predicted class (across)."""
-    numbers, names = list(CLASS_NAMES), list(CLASS_NAMES.values())
-    return (
-        df.groupBy(F.col(label).alias("truth"))
-        .pivot(prediction, numbers)
-        .agg(F.count(F.lit(1)))
-        .na.fill(0)
-        .toDF("truth", *[f"predicted_{name}" for name in names])
+    """Rows per true class (down) and predicted class (across).
+
+    Both classes have a line, with or without rows; so has each other true value that occurs,
+    NULL among them. Predictions that are no class are counted in ``predicted_other``.
+    """
+    guess = F.col(prediction)
+    hits = {
+        f"predicted_{name}": F.count_if(guess == number) for number, name in CLASS_NAMES.items()
+    }
+    other = F.count_if(guess.isNull() | ~guess.isin(list(CLASS_NAMES)))
+    truth = F.col(label).alias("truth")
+    counts = df.groupBy(truth).agg(
+        *[hit.alias(name) for name, hit in hits.items()], other.alias("predicted_other")
     )
+    kind = counts.schema["truth"].dataType
+    classes = df.sparkSession.createDataFrame([(n,) for n in CLASS_NAMES], "truth int")
+    none = [F.lit(0).cast("long").alias(name) for name in counts.columns[1:]]
+    lines = counts.unionByName(classes.select(F.col("truth").cast(kind), *none))
+    return lines.groupBy("truth").agg(*[F.sum(c).alias(c) for c in counts.columns[1:]])
 
 
 def best_model(metrics: DataFrame, candidate: str = "candidate") -> DataFrame:
@@ -121,7 +134,8 @@ def quality_gate(
 ) -> DataFrame:
     """Add ``gate`` and ``verdict`` to metrics that carry ``f1`` and ``train_rows``.
 
-    A missing F1 passes the gate with a warning, but is no reason for production.
+    A missing F1 passes the gate with a warning, but is no reason for production; a gate that
+    fails for any reason is none either.
     """
     f1, rows = F.col("f1"), F.col("train_rows")
     gate = (
@@ -130,5 +144,5 @@ def quality_gate(
         .when(rows < min_train_rows, "fail_train_rows")
         .otherwise("pass")
     )
-    verdict = F.when(f1 >= min_f1, "production").otherwise("staging")
+    verdict = F.when(F.col("gate") == "pass", "production").otherwise("staging")
     return metrics.withColumn("gate", gate).withColumn("verdict", verdict)

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import IDF, HashingTF, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -28,7 +27,7 @@ RATIO_COLUMNS = [
 
 
 def feature_stages(
-    n_features: int = 1 << 18,
+    n_features: int = 1 << 16,
     max_tokens: int | None = None,
     extra: Sequence[str] = (),
 ) -> Pipeline:
@@ -53,7 +52,7 @@ def train_classifier(
     train: DataFrame,
     val: DataFrame,
     reg_params: Sequence[float] = (0.001, 0.01, 0.1),
-    n_features: int = 1 << 18,
+    n_features: int = 1 << 16,
     max_tokens: int | None = None,
     extra: Sequence[str] = (),
     weight: str | None = None,
@@ -62,39 +61,70 @@ def train_classifier(
     """Fit one classifier per ``reg_params`` on train, keep the one with the best F1 on val.
 
     Both tables need ``text_clean`` and ``label_binary``. Returns the model and one row of
-    validation metrics per candidate.
+    validation metrics per candidate, ``eval_loss`` (mean log loss) among them.
     """
     features = feature_stages(n_features, max_tokens, extra).fit(train)
     columns = ["features", "label_binary", *([weight] if weight else [])]
     train_vectors = features.transform(train).select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
-    val_vectors = features.transform(val).select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
+    val_vectors = features.transform(val).select("features", "label_binary")
     estimator = LogisticRegression(labelCol="label_binary", maxIter=max_iter)
     if weight:
         estimator = estimator.setWeightCol(weight)
     # Each fit is a row of short jobs; side by side they fill the gaps between them.
     fits = estimator.fitMultiple(train_vectors, [{estimator.regParam: r} for r in reg_params])
     spark = train.sparkSession
-    with ThreadPool(len(reg_params)) as pool:
-        models = dict(
-            pool.imap_unordered(inheritable_thread_target(spark)(lambda _: next(fits)), reg_params)
-        )
-    evaluations = [
-        classification_metrics(models[number].transform(val_vectors), "label_binary").select(
-            F.lit(number).alias("candidate"), F.lit(reg_param).alias("reg_param"), "*"
-        )
-        for number, reg_param in enumerate(reg_params)
-    ]
-    # A row per candidate: kept as values, so that it does not depend on the cached vectors.
-    found = reduce(DataFrame.unionByName, evaluations)
+    try:
+        with ThreadPool(len(reg_params)) as pool:
+            models = dict(
+                pool.imap_unordered(
+                    inheritable_thread_target(spark)(lambda _: next(fits)), reg_params
+                )
+            )
+    finally:
+        train_vectors.unpersist()
+    # A row per candidate: kept as values, so that it does not depend on the validation rows.
+    found = _evaluations(val_vectors, [models[n] for n in range(len(reg_params))], reg_params)
     metrics = spark.createDataFrame(found.collect(), found.schema)
-    train_vectors.unpersist()
-    val_vectors.unpersist()
     chosen = best_model(metrics).head()
     if chosen is None or chosen["f1"] is None:
         raise ValueError("no validation rows to choose a model by")
     return PipelineModel(stages=[features, models[chosen["candidate"]]]), metrics
 
 
+# Probabilities are kept from 0 and 1 by this much, so that a sure and wrong one has a loss.
+TINY = 1e-15
+
+
+def _evaluations(
+    val: DataFrame, models: Sequence[LogisticRegressionModel], reg_params: Sequence[float]
+) -> DataFrame:
+    """Metrics and mean log loss of all models, in one pass over the rows."""
+    guesses, label = [], F.col("label_binary")
+    for number, (model, reg_param) in enumerate(zip(models, reg_params, strict=True)):
+        chance = f"_probability_{number}"
+        scorer = model.copy({model.predictionCol: f"_prediction_{number}",
+                             model.probabilityCol: chance, model.rawPredictionCol: f"_raw_{number}"})
+        val = scorer.transform(val)
+        right = F.get(vector_to_array(chance), label)
+        guesses.append(
+            F.struct(
+                F.lit(number).alias("candidate"), F.lit(reg_param).alias("reg_param"),
+                F.col(f"_prediction_{number}").alias("prediction"),
+                (-F.log(F.least(F.greatest(right, F.lit(TINY)), F.lit(1 - TINY)))).alias("loss"),
+            )
+        )
+    rows = val.select("label_binary", F.inline(F.array(*guesses)))
+    by = ["candidate", "reg_param"]
+    # The loss is summed with the counts the metrics start from, so the rows are read once.
+    counts = rows.groupBy(*by, "label_binary", "prediction").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("loss").alias("loss")
+    )
+    counts = val.sparkSession.createDataFrame(counts.collect(), counts.schema)
+    loss = counts.groupBy(*by).agg((F.sum("loss") / F.sum("n")).alias("eval_loss"))
+    metrics = classification_metrics(counts, "label_binary", by=by, weight="n")
+    return metrics.join(loss, by)
+
+
 def with_class_weights(train: DataFrame, name: str = "class_weight") -> DataFrame:
     """Add a weight that gives both classes the same total."""
     counts = train.groupBy("label_binary").count().collect()
@@ -117,7 +147,6 @@ def score(model: PipelineModel, texts: DataFrame, model_version: str) -> DataFra
     )
 
 
-def accepted_and_rejected(texts: DataFrame, text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Rows with a text length that may be scored, and the others."""
-    checked = texts.withColumn("is_valid", valid_for_scoring(F.col(text)))
-    return checked.where("is_valid").drop("is_valid"), checked.where("NOT is_valid").drop("is_valid")
+def with_validity(texts: DataFrame, text: str = "text") -> DataFrame:
+    """Add ``is_valid``: whether a service that limits the length of texts would take the row."""
+    return texts.withColumn("is_valid", valid_for_scoring(F.col(text)))

@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from ..constants import MAX_POSTS_PER_TERM, SEARCH_TERMS
+from ..constants import SEARCH_TERMS
 from ..session import scratch_path
-from .joins import join_small
 
 # Ways a hot group is spread over before its final ranking.
 SPREAD = 64
@@ -35,7 +34,7 @@ def file_row_index(
     shifts = spans.select(
         "_place", (F.coalesce(earlier, F.lit(0)) - F.col("_first")).alias("_shift")
     )
-    indexed = join_small(placed, shifts, ["_place"], "inner")
+    indexed = placed.join(shifts, "_place")
     return indexed.withColumn(name, F.col(position) + F.col("_shift")).drop("_place", "_shift")
 
 
@@ -80,7 +79,7 @@ def top_per_group(
 
 def posts_per_term(limit: int, n_terms: int = len(SEARCH_TERMS)) -> int:
     """How many posts one search term may bring when ``limit`` are wanted in total."""
-    return min(max(1, limit // n_terms), MAX_POSTS_PER_TERM)
+    return max(1, limit // n_terms)
 
 
 def cap_per_term(posts: DataFrame, limit: int, n_terms: int = len(SEARCH_TERMS)) -> DataFrame:

@@ -9,15 +9,13 @@ polarity. A polar word scores its polarity times what the word before it asks fo
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from ..constants import KEYS
-from .joins import join_small
+from .joins import require_unique
 
-# Word lists up to this size become part of the expression.
+# Word lists up to this size become part of the expression; the scores are the same beyond.
 MAX_INLINE_WORDS = 10_000
 
 NEGATION = -0.5
@@ -33,14 +31,15 @@ def with_sentiment(
     df: DataFrame,
     lexicon: DataFrame,
     text: str = "text_clean",
-    keys: Sequence[str] = KEYS,
     max_inline_words: int = MAX_INLINE_WORDS,
 ) -> DataFrame:
-    """Add ``sentiment_score``. NULL text scores 0.0.
+    """Add ``sentiment_score``, which depends on the text alone. NULL text scores 0.0.
 
-    A word list of checked size is looked up inside each row, without any shuffle. A larger
-    one is joined word by word, which needs ``keys`` that are unique and not NULL.
+    A word may be listed once only. A word list of checked size is looked up inside each row,
+    without any shuffle; a larger one is joined word by word, and the mean comes back by a digest
+    of the text.
     """
+    require_unique(lexicon, "word")
     words = lexicon.select(
         "word",
         F.when(F.col("kind") == "polar", F.col("polarity")).alias("polarity"),
@@ -53,7 +52,7 @@ def with_sentiment(
     rows = words.withColumn("hash", F.hash("word")).limit(max_inline_words + 1).collect()
     if len(rows) <= max_inline_words:
         return _inline_score(split, rows).drop("_words")
-    return _joined_score(split, words, keys).drop("_words")
+    return _joined_score(split, words, F.col(text)).drop("_words")
 
 
 def _limit(score: Column) -> Column:
@@ -106,17 +105,23 @@ def _sql_string(word: str) -> str:
     return "'" + word.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _joined_score(df: DataFrame, words: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Scores by joining each word with the list, and the mean back to its row."""
+def _joined_score(df: DataFrame, words: DataFrame, text: Column) -> DataFrame:
+    """Scores by joining each word with the list, and the mean back to all rows of the text.
+
+    Copies of a text add the same pairs again, which leaves their mean as it is. A frequent word
+    is a hot key of the join, which adaptive execution splits.
+    """
+    columns = df.columns
+    df = df.withColumn("_digest", F.unhex(F.sha2(text, 256)))
     shifted = F.concat(F.array(F.lit("")), "_words")
     pairs = df.select(
-        *keys,
+        "_digest",
         F.inline(F.arrays_zip(F.col("_words").alias("word"), shifted.alias("before"))),
     )
     polar = words.where("polarity is not null").select("word", "polarity")
     factors = words.where("factor <> 1.0").select(F.col("word").alias("before"), "factor")
-    scored = join_small(join_small(pairs, polar, ["word"], "inner"), factors, ["before"])
+    scored = pairs.join(polar, "word").join(factors, "before", "left")
     score = _limit(F.col("polarity") * F.coalesce("factor", F.lit(1.0)))
-    means = scored.groupBy(*keys).agg(F.avg(score).alias("_mean"))
-    joined = df.join(means, list(keys), "left")
-    return joined.select(*df.columns, _as_score(F.col("_mean")).alias("sentiment_score"))
+    means = scored.groupBy("_digest").agg(F.avg(score).alias("_mean"))
+    joined = df.join(means, "_digest", "left")
+    return joined.select(*columns, _as_score(F.col("_mean")).alias("sentiment_score"))

@@ -2,41 +2,69 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import logging
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import POST_SOURCE
 from ..operators.merge import insert_new
 from ..operators.ranking import cap_per_term
-from ..schemas import BRONZE
-from ..sources.posts import post_records, read_posts
+from ..schemas import BRONZE, BRONZE_PARTITIONS
+from ..sources.posts import broken_lines, post_records, read_landed, whole_lines
 from ..sources.records import stamped, union_records
 
+log = logging.getLogger(__name__)
 
-def ingest_records(
-    parts: Sequence[DataFrame],
-    path: str,
-    as_of: Column | None = None,
-    only: Column | None = None,
-) -> None:
+
+def ingest_records(parts: Sequence[DataFrame], path: str, as_of: Column | None = None) -> None:
     """Insert the rows of all parts whose key is new. A part that fails fails the job."""
-    insert_new(stamped(union_records(parts), as_of), path, BRONZE, only=only)
+    records = stamped(union_records(parts), as_of)
+    insert_new(records, path, BRONZE, partition_by=BRONZE_PARTITIONS)
 
 
-def capped_posts(posts: DataFrame, limit: int | None) -> DataFrame:
-    """Post records, at most ``limit`` in total shared evenly by the search terms."""
-    return post_records(posts if limit is None else cap_per_term(posts, limit))
+def ingest_landed(
+    landed: DataFrame,
+    path: str,
+    limit: int | None = None,
+    as_of: Column | None = None,
+    quarantine: str | None = None,
+) -> None:
+    """Insert the posts of landed lines; broken lines are counted and go to ``quarantine``."""
+    broken = broken_lines(landed)
+    # Spark reads broken lines only together with another column.
+    n_broken = broken.agg(F.count("line"), F.max("uri")).head()[0]
+    if n_broken:
+        log.warning("%d landed lines are no JSON", n_broken)
+        if quarantine is not None:
+            broken.write.mode("append").parquet(quarantine)
+    posts = whole_lines(landed)
+    if limit is not None:
+        posts = cap_per_term(posts, limit)
+    ingest_records([post_records(posts)], path, as_of)
 
 
 def ingest_posts(
     spark: SparkSession,
-    landing: str,
+    landing: str | Mapping[str, str],
     path: str,
-    limit: int | None = 100,
+    limit: int | None = None,
     as_of: Column | None = None,
-) -> None:
-    """Insert landed posts; no posts, no table."""
-    records = capped_posts(read_posts(spark, landing), limit)
-    ingest_records([records], path, as_of, only=F.col("source") == POST_SOURCE)
+    quarantine: str | None = None,
+) -> list[str]:
+    """Insert landed posts; no posts, no table.
+
+    ``landing`` is a folder, or a folder for each search term. A term whose files cannot be read
+    is left out with a warning and the others go on; the terms left out are returned. All posts
+    are taken unless ``limit`` says how many, shared evenly by the terms of the posts.
+    """
+    failed = []
+    for term, folder in ({"": landing} if isinstance(landing, str) else landing).items():
+        try:
+            ingest_landed(read_landed(spark, folder), path, limit, as_of, quarantine)
+        except Exception:
+            if isinstance(landing, str):
+                raise
+            log.warning("posts of %r in %s were not ingested", term, folder, exc_info=True)
+            failed.append(term)
+    return failed

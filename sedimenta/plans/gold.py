@@ -9,7 +9,8 @@ from ..constants import SOURCE_CREDIBILITY, UNKNOWN
 from ..functions.records import hash_split
 from ..functions.text import avg_word_length, caps_ratio, exclamation_ratio
 from ..operators.joins import with_credibility
-from ..operators.merge import read_table, upsert
+from ..operators.merge import read_table, unmatched, upsert
+from ..operators.metrics import class_distribution
 from ..operators.sentiment import with_sentiment
 from ..schemas import GOLD, GOLD_PARTITIONS, SILVER
 
@@ -61,11 +62,21 @@ def refresh_gold(
     lexicon: DataFrame,
     credibility: dict[str, float] | DataFrame = SOURCE_CREDIBILITY,
     as_of: Column | None = None,
-) -> DataFrame:
-    """Bring the gold table up to date and return it."""
+    full: bool = False,
+) -> dict[int, int]:
+    """Bring the gold table up to date and return its rows per class.
+
+    Only rows that gold does not have get features, unless ``full`` asks for all, as after a
+    change of the word list or the credibilities.
+    """
     silver = read_table(spark, silver_path, SILVER)
     if silver is None:
         raise FileNotFoundError(silver_path)
+    known = None if full else read_table(spark, gold_path, GOLD)
+    if known is not None:
+        silver = unmatched(known_labels(silver), known)
     gold = to_gold(silver, lexicon, credibility, as_of)
-    upsert(gold, gold_path, GOLD, partition_by=GOLD_PARTITIONS)
-    return spark.read.schema(GOLD).parquet(gold_path)
+    # The split is a function of the id, and the source is in the key.
+    upsert(gold, gold_path, GOLD, partition_by=GOLD_PARTITIONS, partitions_follow_key=True)
+    classes = class_distribution(read_table(spark, gold_path, GOLD))
+    return {row.label_binary: row.n_rows for row in classes.collect()}

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -20,22 +20,24 @@ def refresh_layers(
     paths: dict[str, str],
     parts: Sequence[DataFrame],
     lexicon: DataFrame,
-    landing: str | None = None,
-    limit: int | None = 100,
+    landing: str | Mapping[str, str] | None = None,
+    limit: int | None = None,
     credibility: dict[str, float] | DataFrame = SOURCE_CREDIBILITY,
     as_of: Column | None = None,
 ) -> str:
     """Ingest records and landed posts, then refresh silver and gold.
 
     ``paths`` names the folders of bronze, silver and gold. The result is ``success``, or
-    ``partial`` if only the posts could not be ingested; anything else that fails raises.
+    ``partial`` if only posts, or those of some terms, could not be ingested; anything else that
+    fails raises.
     """
     status = "success"
     if parts:
         ingest_records(parts, paths["bronze"], as_of)
     if landing is not None:
         try:
-            ingest_posts(spark, landing, paths["bronze"], limit, as_of)
+            if ingest_posts(spark, landing, paths["bronze"], limit, as_of):
+                status = "partial"
         except Exception:
             log.warning("posts of %s were not ingested", landing, exc_info=True)
             status = "partial"

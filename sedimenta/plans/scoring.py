@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..constants import SOURCE_CREDIBILITY
-from ..operators.model import accepted_and_rejected, score
+from ..operators.model import score, with_validity
 from .gold import with_features
 from .silver import with_text_columns
 
@@ -17,15 +18,17 @@ def score_texts(
     lexicon: DataFrame,
     model_version: str,
     credibility: dict[str, float] | DataFrame = SOURCE_CREDIBILITY,
-) -> tuple[DataFrame, DataFrame]:
-    """Predictions for the texts of accepted length, and the rows that were rejected.
+) -> DataFrame:
+    """Predictions for all texts, of any length; a NULL text is scored as an empty one.
 
-    ``texts`` has ``id``, ``source`` and ``text``; its columns come back with
-    ``predicted_label``, ``confidence`` and ``model_version``.
+    ``texts`` has ``id``, ``source`` and ``text``; its columns come back with ``prediction``,
+    ``predicted_label``, ``confidence``, ``model_version`` and ``is_valid``, which says whether
+    a service that limits the length of texts would take the row.
     """
-    accepted, rejected = accepted_and_rejected(texts)
-    features = with_features(with_text_columns(accepted), lexicon, credibility)
-    scored = score(model, features, model_version)
+    checked = with_validity(texts).withColumn("_given", F.col("text"))
+    filled = checked.withColumn("text", F.coalesce("text", F.lit("")))
+    features = with_features(with_text_columns(filled), lexicon, credibility)
+    scored = score(model, features, model_version).withColumn("text", F.col("_given"))
     return scored.select(
-        *texts.columns, "prediction", "predicted_label", "confidence", "model_version"
-    ), rejected
+        *texts.columns, "prediction", "predicted_label", "confidence", "model_version", "is_valid"
+    )

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import clean, has_text, label_class, word_count
 from ..operators.dedup import distinct_texts
-from ..operators.merge import read_table, upsert
+from ..operators.merge import read_table, unmatched, upsert
 from ..schemas import BRONZE, SILVER, SILVER_PARTITIONS
 
 
@@ -36,11 +36,38 @@ def to_silver(bronze: DataFrame, as_of: Column | None = None) -> DataFrame:
     )
 
 
+def new_texts(bronze: DataFrame, silver: DataFrame) -> DataFrame:
+    """Bronze rows that silver has neither by key nor, in the same source, by text.
+
+    Bronze rows never change, and the first row of a text stays its silver row, so the others
+    have nothing to add. Keys and digests are compared, never whole texts.
+    """
+    digest = F.unhex(F.sha2("text", 256)).alias("_digest")
+    fresh = unmatched(bronze.where(has_text(F.col("text"))), silver).select("*", digest)
+    known = silver.select("source", digest)
+    return fresh.join(known, ["source", "_digest"], "left_anti").select(*bronze.columns)
+
+
 def refresh_silver(
-    spark: SparkSession, bronze_path: str, silver_path: str, as_of: Column | None = None
-) -> None:
-    """Bring the silver table up to date with the bronze table."""
+    spark: SparkSession,
+    bronze_path: str,
+    silver_path: str,
+    as_of: Column | None = None,
+    full: bool = False,
+) -> dict[str, int]:
+    """Bring the silver table up to date with the bronze table.
+
+    Only rows that silver does not have are cleaned and written, unless ``full`` asks for all.
+    Returns how many rows went into the de-duplication and how many came out.
+    """
     bronze = read_table(spark, bronze_path, BRONZE)
     if bronze is None:
         raise FileNotFoundError(bronze_path)
-    upsert(to_silver(bronze, as_of), silver_path, SILVER, partition_by=SILVER_PARTITIONS)
+    silver = None if full else read_table(spark, silver_path, SILVER)
+    if silver is not None:
+        bronze = new_texts(bronze, silver)
+    before, after = Observation(), Observation()
+    n_rows = F.count(F.lit(1)).alias("n")
+    rows = to_silver(bronze.observe(before, n_rows), as_of).observe(after, n_rows)
+    upsert(rows, silver_path, SILVER, partition_by=SILVER_PARTITIONS)
+    return {"rows_before": before.get["n"], "rows_after": after.get["n"]}

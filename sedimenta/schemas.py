@@ -23,6 +23,8 @@ BRONZE = T.StructType(
     ]
 )
 
+BRONZE_PARTITIONS = ["source"]
+
 SILVER = _layout(
     ("id", _STRING),
     ("text", _STRING),

@@ -65,6 +65,51 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+class Folder:
+    """Files beside and below a path, on whatever file system it is; ``""`` is the path itself.
+
+    Other names are appended to the path: ``__x`` is a sibling, ``/x`` lies below.
+    """
+
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self._make_path = spark._jvm.org.apache.hadoop.fs.Path
+        self._path = path.rstrip("/")
+        self._system = self._make_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _at(self, name: str):
+        return self._make_path(self._path + name)
+
+    def exists(self, name: str) -> bool:
+        return self._system.exists(self._at(name))
+
+    def make(self, name: str) -> None:
+        self._system.mkdirs(self._at(name))
+
+    def remove(self, name: str) -> None:
+        self._system.delete(self._at(name), True)
+
+    def move(self, name: str, target: str) -> None:
+        """Rename; folders above the target are made, and one that is there is an error."""
+        goal = self._at(target)
+        self._system.mkdirs(goal.getParent())
+        if self._system.exists(goal) or not self._system.rename(self._at(name), goal):
+            raise OSError(f"{self._path}{name} cannot be moved to {goal.toString()}")
+
+    def leaves(self, name: str) -> list[str]:
+        """Partition folders below ``name`` that hold files, as ``/a=1/b=2``."""
+        found = []
+        for status in self._system.listStatus(self._at(name)):
+            child = status.getPath().getName()
+            if status.isDirectory() and "=" in child:
+                below = self.leaves(f"{name}/{child}")
+                found += [f"/{child}{b}" for b in below] or [f"/{child}"]
+        return found
+
+
+def folder_at(spark: SparkSession, path: str) -> Folder:
+    return Folder(spark, path)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Remove a scratch path whose content is no longer needed."""
     location = spark._jvm.org.apache.hadoop.fs.Path(path)

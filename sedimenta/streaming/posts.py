@@ -6,10 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..constants import POST_SOURCE
-from ..plans.bronze import ingest_records
-from ..schemas import POSTS
-from ..sources.posts import READ_OPTIONS, post_records
+from ..plans.bronze import ingest_landed
+from ..sources.posts import LANDED, READ_OPTIONS
 
 
 def stream_posts(
@@ -19,22 +17,23 @@ def stream_posts(
     checkpoint: str,
     as_of: Column | None = None,
     max_files: int = 1_000,
+    quarantine: str | None = None,
 ) -> StreamingQuery:
     """Start ingesting all files landed so far, in batches, and stop after the last.
 
     A batch that runs again after a failure finds its keys in the table and adds nothing, so
-    there is no state to keep and no watermark.
+    there is no state to keep and no watermark. A file that cannot be read fails the stream, and
+    its batch is tried again by the next one; broken lines go to ``quarantine``.
     """
     posts = (
-        spark.readStream.schema(POSTS)
+        spark.readStream.schema(LANDED)
         .options(**READ_OPTIONS, maxFilesPerTrigger=str(max_files))
         .json(landing)
+        .withColumn("file", F.col("_metadata.file_path"))
     )
 
     def land(batch: DataFrame, _: int) -> None:
-        ingest_records(
-            [post_records(batch)], bronze_path, as_of, only=F.col("source") == POST_SOURCE
-        )
+        ingest_landed(batch, bronze_path, None, as_of, quarantine)
 
     return (
         posts.writeStream.foreachBatch(land)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,11 +79,34 @@ def test_all_layers_at_once(spark, tmp_path):
     assert silver.where("source = 'bluesky'").count() > 0
     # Posts have no known class, so none of them gets to gold.
     assert read_table(spark, paths["gold"], GOLD).count() == gold
+    files = sorted(p for layer in paths.values() for p in Path(layer).rglob("*.parquet"))
+    assert refresh(parts, landing) == "success"
+    assert sorted(p for layer in paths.values() for p in Path(layer).rglob("*.parquet")) == files
     failing = parts[0].withColumn("text", F.raise_error(F.lit("source down")).cast("string"))
     with pytest.raises(Exception, match="source down"):
         refresh([failing], landing)
 
 
+def test_refreshes_take_up_new_rows_only_and_count(spark, tmp_path):
+    paths = [str(tmp_path / n) for n in ("bronze", "silver", "gold")]
+    first = [("1", "One text", "true"), ("2", "One text", "fake"), ("3", "Two", "fake"), ("4", " ", "true")]
+    more = [("5", "Two", "true"), ("6", "Three", "true"), ("7", "Three", "fake")]
+
+    def refresh(rows, day, **options):
+        df = spark.createDataFrame(rows, "id string, text string, label string")
+        df = df.select("*", F.lit("s").alias("source"), F.lit("{}").alias("raw_meta"))
+        as_of = F.lit(f"2024-01-0{day}").cast("timestamp")
+        ingest_records([df], paths[0], as_of)
+        counts = refresh_silver(spark, *paths[:2], as_of, **options)
+        return counts, refresh_gold(spark, *paths[1:], given.lexicon(spark), as_of=as_of, **options)
+
+    assert refresh(first, 1) == ({"rows_before": 4, "rows_after": 2}, {0: 1, 1: 1})
+    assert refresh(more, 2) == ({"rows_before": 2, "rows_after": 1}, {0: 2, 1: 1})
+    assert refresh([], 3) == ({"rows_before": 0, "rows_after": 0}, {0: 2, 1: 1})
+    assert refresh([], 4, full=True) == ({"rows_before": 7, "rows_after": 3}, {0: 2, 1: 1})
+    assert {r.id for r in read_table(spark, paths[1], SILVER).collect()} == {"1", "3", "6"}
+
+
 def test_schemas(spark):
     silver = to_silver(given.bronze(spark, FOLDER))
     gold = to_gold(silver, given.lexicon(spark))

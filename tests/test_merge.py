@@ -13,6 +13,7 @@ from sedimenta.operators.merge import (
     upsert,
     write_table,
 )
+from sedimenta.session import Folder, folder_at
 
 SCHEMA = T.StructType(
     [T.StructField(n, T.StringType()) for n in ("id", "source", "text", "split")]
@@ -66,10 +67,13 @@ def test_insert_of_nothing_makes_no_table(spark, path):
     assert read_table(spark, path, SCHEMA) is None
 
 
-def test_insert_looks_only_where_told(spark, path):
-    write_table(rows(spark, *OLD), path)
-    insert_new(rows(spark, NEW[0], NEW[1]), path, SCHEMA, only=merge.F.col("source") == "a")
-    assert content(spark, path) == sorted([*OLD, NEW[1]])
+def test_insert_into_partitions(spark, path, tmp_path):
+    for batch, expected in ((OLD, sorted(OLD)), (NEW, INSERTED), (NEW, INSERTED)):
+        insert_new(rows(spark, *batch), path, SCHEMA, partition_by=["source"])
+        assert content(spark, path) == expected
+    files = sorted((tmp_path / "table").rglob("*"))
+    insert_new(rows(spark, *OLD), path, SCHEMA, partition_by=["source"])
+    assert sorted((tmp_path / "table").rglob("*")) == files
 
 
 @pytest.mark.parametrize("partition_by", [[], ["source"], ["source", "split"]])
@@ -93,13 +97,82 @@ def test_upsert_of_a_row_that_changes_partition(spark, path):
     assert content(spark, path) == sorted([OLD[0], OLD[2], ("2", "a", "new", "test")])
 
 
-def test_upsert_with_more_partitions_than_can_be_listed(spark, path, monkeypatch):
-    monkeypatch.setattr(merge, "MAX_LISTED_PARTITIONS", 1)
+def test_upsert_of_nothing_writes_nothing(spark, path, tmp_path):
     upsert(rows(spark, *OLD), path, SCHEMA, partition_by=["source"])
-    upsert(rows(spark, *NEW), path, SCHEMA, partition_by=["source"])
+    before = sorted((tmp_path / "table").rglob("*"))
+    upsert(rows(spark), path, SCHEMA, partition_by=["source"])
+    assert sorted((tmp_path / "table").rglob("*")) == before
+
+
+class Lost(Exception):
+    """The driver is lost."""
+
+
+STEPS = ("make", "move", "remove")
+
+
+@pytest.mark.parametrize("partition_by", [[], ["source"]])
+@pytest.mark.parametrize("after", range(8))
+def test_a_replacement_that_breaks_off_loses_nothing(spark, path, monkeypatch, partition_by, after):
+    """Lost after each number of steps; the next reader finds the old rows or the new ones."""
+    upsert(rows(spark, *OLD), path, SCHEMA, partition_by=partition_by)
+    left = [after]
+
+    def failing(step):
+        def run(self, *args):
+            if not left[0]:
+                raise Lost
+            left[0] -= 1
+            return step(self, *args)
+
+        return run
+
+    with monkeypatch.context() as patch:
+        for name in STEPS:
+            patch.setattr(Folder, name, failing(getattr(Folder, name)))
+        try:
+            upsert(rows(spark, *NEW), path, SCHEMA, partition_by=partition_by)
+        except Lost:
+            pass
+    assert content(spark, path) in (sorted(OLD), UPSERTED)
+    upsert(rows(spark, *NEW), path, SCHEMA, partition_by=partition_by)
+    assert content(spark, path) == UPSERTED
+    assert not any(folder_at(spark, path).exists(n) for n in (merge.NEXT, merge.PREVIOUS))
+
+
+@pytest.mark.parametrize("partition_by", [[], ["source"]])
+def test_a_write_that_fails_loses_nothing(spark, path, monkeypatch, partition_by):
+    upsert(rows(spark, *OLD), path, SCHEMA, partition_by=partition_by)
+    write = merge.write_table
+
+    def broken(df, *args, **options):
+        write(df.withColumn("text", merge.F.raise_error(merge.F.lit("disk"))), *args, **options)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(merge, "write_table", broken)
+        with pytest.raises(Exception, match="disk"):
+            upsert(rows(spark, *NEW), path, SCHEMA, partition_by=partition_by)
+    assert content(spark, path) == sorted(OLD)
+    upsert(rows(spark, *NEW), path, SCHEMA, partition_by=partition_by)
     assert content(spark, path) == UPSERTED
 
 
+def test_the_first_upsert_rejects_a_key_that_occurs_twice_too(spark, path):
+    with pytest.raises(DuplicateKeys):
+        upsert(rows(spark, NEW[0], NEW[0]), path, SCHEMA)
+    assert read_table(spark, path, SCHEMA) is None
+
+
+def test_partitions_that_follow_the_key_are_not_searched(spark, path, monkeypatch):
+    upsert(rows(spark, *OLD), path, SCHEMA, partition_by=["source", "split"])
+    monkeypatch.setattr(merge, "_moves_rows", lambda *_: pytest.fail("searched"))
+    upsert(
+        rows(spark, NEW[0]), path, SCHEMA, partition_by=["source", "split"],
+        partitions_follow_key=True,
+    )
+    assert content(spark, path) == sorted([NEW[0], OLD[1], OLD[2]])
+
+
 def test_upsert_rejects_a_key_that_occurs_twice(spark, path):
     upsert(rows(spark, *OLD), path, SCHEMA, partition_by=["source"])
     with pytest.raises(DuplicateKeys):
@@ -115,6 +188,8 @@ def test_upsert_clears_its_scratch_folder(spark, path, tmp_path, monkeypatch):
         upsert(rows(spark, *OLD), target, SCHEMA, partition_by=partition_by)
         upsert(rows(spark, *NEW), target, SCHEMA, partition_by=partition_by)
         assert content(spark, target) == UPSERTED
+        with pytest.raises(DuplicateKeys):
+            upsert(rows(spark, NEW[0], NEW[0]), target, SCHEMA, partition_by=partition_by)
         assert list(scratch.iterdir()) == []
 
 
@@ -136,7 +211,7 @@ def test_failing_batch_leaves_the_table(spark, path):
 def test_only_touched_partitions_are_read(spark, path, plan):
     upsert(rows(spark, *OLD), path, SCHEMA, partition_by=["source", "split"])
     target = read_table(spark, path, SCHEMA)
-    touched = merge._touched(rows(spark, NEW[0]), ["source", "split"])
+    touched = merge._listed(rows(spark, NEW[0]), ["source", "split"])
     filters = plan(target.where(touched)).split("PartitionFilters: [")[1]
     assert filters.startswith("(invoke(StructsToJson")
     assert target.where(touched).count() == 1

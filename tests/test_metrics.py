@@ -21,7 +21,7 @@ from sedimenta.operators.metrics import (
 )
 from sedimenta.schemas import EXPORT
 
-MIXED = [(0, 0), (0, 0), (1, 0), (1, 1), (0, 1), (0, 1)]
+MIXED = [(0, 0), (0, 1), (0, 0), (0, 0), (1, 1), (1, 0), (1, 1), (0, 0), (1, 1)]
 
 
 def pairs(spark, rows):
@@ -33,7 +33,8 @@ def pairs(spark, rows):
     [
         ([(0, 0), (0, 0), (1, 1)], 1, 1, 1, 1),
         ([(0, 1)] * 4, 0, 0, 0, 0),
-        (MIXED, 18 / 35, 0.5, 5 / 9, 0.5),
+        # Five of class 0, four of them hit by five guesses; four of class 1, three of four.
+        (MIXED, (5 * 0.8 + 4 * 0.75) / 9, 7 / 9, (5 * 0.8 + 4 * 0.75) / 9, 7 / 9),
     ],
 )
 def test_known_cases(spark, rows, f1, accuracy, precision, recall):
@@ -45,11 +46,10 @@ def test_known_cases(spark, rows, f1, accuracy, precision, recall):
 
 
 def test_metrics_from_scores(spark):
-    logits = [([10.0, -10.0], 0), ([10.0, -10.0], 0), ([10.0, -10.0], 1),
-              ([-10.0, 10.0], 1), ([-10.0, 10.0], 0), ([-10.0, 10.0], 0)]
-    df = spark.createDataFrame(logits, "logits array<double>, label int")
-    row = classification_metrics(df.withColumn("prediction", argmax(F.col("logits")))).head()
-    assert row.f1 == pytest.approx(18 / 35)
+    scores = [([0.2, 0.7][:: 1 - 2 * (1 - guess)], label) for label, guess in MIXED]
+    df = spark.createDataFrame(scores, "scores array<double>, label int")
+    row = classification_metrics(df.withColumn("prediction", argmax(F.col("scores")))).head()
+    assert row.f1 == pytest.approx(7 / 9)
 
 
 @pytest.mark.parametrize("classes", [2, 5])
@@ -76,13 +76,20 @@ def test_groups_are_scored_apart(spark):
         pairs(spark, [(0, 0)]).withColumn("c", F.lit("y"))
     )
     found = {r.c: r.f1 for r in classification_metrics(df, by=["c"]).collect()}
-    assert found == pytest.approx({"x": 18 / 35, "y": 1.0})
+    assert found == pytest.approx({"x": 7 / 9, "y": 1.0})
 
 
 def test_confusion_matrix(spark):
     found = {tuple(r) for r in confusion_matrix(pairs(spark, MIXED)).collect()}
-    assert found == {(0, 2, 2), (1, 1, 1)}
-    assert {tuple(r) for r in confusion_matrix(pairs(spark, [(0, 0)])).collect()} == {(0, 1, 0)}
+    assert found == {(0, 4, 1, 0), (1, 1, 3, 0)}
+
+
+def test_confusion_matrix_invents_no_class(spark):
+    odd = pairs(spark, [(0, 0), (None, 0), (1, 2), (0, None)])
+    found = {tuple(r) for r in confusion_matrix(odd).collect()}
+    assert found == {(0, 1, 0, 1), (1, 0, 0, 1), (None, 1, 0, 0)}
+    one = confusion_matrix(pairs(spark, [(0, 0)]))
+    assert {tuple(r) for r in one.collect()} == {(0, 1, 0, 0), (1, 0, 0, 0)}
 
 
 def test_best_model(spark):
@@ -95,7 +102,7 @@ GATES = [
     (0.80, 5000, "pass", "production"),
     (0.75, 9000, "fail_f1", "staging"),
     (None, 9000, "pass_with_warning", "staging"),
-    (0.90, 4999, "fail_train_rows", "production"),
+    (0.90, 4999, "fail_train_rows", "staging"),
 ]
 
 
@@ -121,5 +128,16 @@ def test_layer_status(spark, tmp_path):
     spark.createDataFrame([("x", 1), ("y", 0)], EXPORT).write.parquet(there)
     status = layer_status(spark, {"bronze": (there, EXPORT), "gold": (missing, EXPORT)})
     assert {tuple(r) for r in status.collect()} == {
-        ("bronze", there, True, 2), ("gold", missing, False, None)
+        ("bronze", there, True, 2, None), ("gold", missing, False, None, None)
     }
+
+
+def test_one_bad_layer_spares_the_others(spark, tmp_path):
+    there, broken = tmp_path / "there", tmp_path / "broken"
+    spark.createDataFrame([("x", 1)], EXPORT).write.parquet(str(there))
+    broken.mkdir()
+    (broken / "part-0.parquet").write_bytes(b"no parquet at all")
+    layers = {"bronze": (str(broken), EXPORT), "silver": (str(there), EXPORT)}
+    found = {r.layer: r for r in layer_status(spark, layers).collect()}
+    assert found["silver"].row_count == 1 and found["silver"].error is None
+    assert found["bronze"].row_count is None and found["bronze"].error.startswith("error: ")

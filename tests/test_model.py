@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from sedimenta.operators.model import (
-    accepted_and_rejected,
     feature_stages,
     score,
     train_classifier,
     with_class_weights,
+    with_validity,
 )
 
 
@@ -45,6 +46,7 @@ def test_candidates_and_choice(trained):
     assert set(rows) == {0.01, 100.0}
     assert rows[0.01].f1 > 0.95
     assert rows[0.01].n_rows == 80
+    assert 0 < rows[0.01].eval_loss < rows[100.0].eval_loss
 
 
 def test_scores(spark, trained, table):
@@ -66,14 +68,19 @@ def test_raw_texts(spark, table):
     model, _ = train_classifier(table, table, reg_params=(0.01,), n_features=1 << 10, max_iter=5)
     texts = spark.createDataFrame(
         [("1", "s", "Shocking SECRET <b>hoax</b>!"), ("2", "s", "Official report, data"),
-         ("3", "s", "short"), ("4", "s", None)],
+         ("3", "s", "short"), ("4", "s", None), ("5", "s", "secret " * 1000)],
         "id string, source string, text string",
     )
-    scored, rejected = score_texts(model, texts, default_lexicon(spark), "1")
-    found = {r.id: r.predicted_label for r in scored.collect()}
-    assert found == {"1": "misinformation", "2": "credible"}
-    assert {r.id for r in rejected.collect()} == {"3", "4"}
-    assert scored.columns[:3] == rejected.columns == texts.columns
+    scored = score_texts(model, texts, default_lexicon(spark), "1")
+    found = {r.id: r for r in scored.collect()}
+    assert len(found) == 5
+    assert [found[i].predicted_label for i in "12"] == ["misinformation", "credible"]
+    assert {i: r.is_valid for i, r in found.items()} == {
+        "1": True, "2": True, "3": False, "4": False, "5": False
+    }
+    assert all(0.5 <= r.confidence <= 1.0 for r in found.values())
+    assert found["4"].text is None and len(found["5"].text) == 7000
+    assert scored.columns[:3] == texts.columns
 
 
 def test_model_survives_saving(spark, trained, table, tmp_path):
@@ -104,9 +111,29 @@ def test_no_validation_rows(table):
         train_classifier(table, table.where("false"), reg_params=(0.1,), n_features=64, max_iter=1)
 
 
-def test_rejected_rows_are_kept_apart(spark):
+def test_validity(spark):
     df = spark.createDataFrame([("short",), ("long enough text",), (None,)], "text string")
-    accepted, rejected = accepted_and_rejected(df)
-    assert [r.text for r in accepted.collect()] == ["long enough text"]
-    assert rejected.count() == 2
-    assert accepted.columns == rejected.columns == ["text"]
+    assert [r.is_valid for r in with_validity(df).collect()] == [False, True, False]
+
+
+def test_loss_and_metrics_of_candidates(spark):
+    """One pass over all candidates gives what each gives alone."""
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import Vectors
+
+    from sedimenta.operators.metrics import classification_metrics
+    from sedimenta.operators.model import _evaluations
+
+    rng = random.Random(3)
+    rows = [(Vectors.dense([rng.random() + n % 2, rng.random()]), n % 2) for n in range(60)]
+    df = spark.createDataFrame(rows, ["features", "label_binary"])
+    learner = LogisticRegression(labelCol="label_binary", maxIter=5)
+    models = [learner.copy({learner.regParam: r}).fit(df) for r in (0.01, 1.0)]
+    found = {r.candidate: r for r in _evaluations(df, models, (0.01, 1.0)).collect()}
+    for n, fitted in enumerate(models):
+        alone = fitted.transform(df)
+        metrics = classification_metrics(alone, "label_binary").head()
+        assert found[n].f1 == pytest.approx(metrics.f1)
+        chances = [(r.probability[r.label_binary]) for r in alone.collect()]
+        loss = -sum(map(math.log, chances)) / len(chances)
+        assert found[n].eval_loss == pytest.approx(loss)

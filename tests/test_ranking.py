@@ -8,7 +8,6 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from sedimenta.operators import joins
 from sedimenta.operators.ranking import cap_per_term, posts_per_term, row_index, top_per_group
 
 
@@ -19,9 +18,15 @@ def rows(n, seed=0):
     return [(f"g{rng.randrange(6)}" if i % 3 else "hot", o, f"v{o}") for i, o in enumerate(numbers)]
 
 
-@pytest.mark.parametrize("broadcast_rows", [joins.MAX_BROADCAST_ROWS, 0])
-def test_row_index(spark, monkeypatch, broadcast_rows):
-    monkeypatch.setattr("sedimenta.operators.joins.within", lambda df, n: broadcast_rows > 0)
+@pytest.fixture(params=["10m", "-1"])
+def threshold(spark, request):
+    """Joins with and without a broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", request.param)
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_row_index(spark, threshold):
     given = rows(5000)
     df = spark.createDataFrame(given, "g string, o long, v string").repartition(8)
     expected = defaultdict(list)
@@ -48,9 +53,7 @@ def test_row_index_spreads_a_hot_group(spark, tmp_path, monkeypatch):
     assert wrong.where("i <> r").count() == 0
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_row_index_with_null_groups(spark, monkeypatch, broadcast):
-    monkeypatch.setattr("sedimenta.operators.joins.within", lambda df, n: broadcast)
+def test_row_index_with_null_groups(spark, threshold):
     df = spark.createDataFrame([("a", 2), (None, 7), ("a", 1), (None, 3)], "g string, o int")
     assert {(r.g, r.o, r.row_index) for r in row_index(df, ["g"], ["o"]).collect()} == {
         ("a", 1, 0), ("a", 2, 1), (None, 3, 0), (None, 7, 1)
@@ -71,7 +74,7 @@ def test_top_per_group(spark, plan):
     assert len(found) == len(expected) and set(found) == expected
 
 
-@pytest.mark.parametrize(("limit", "each"), [(100, 25), (3, 1), (0, 1), (10_000, 100)])
+@pytest.mark.parametrize(("limit", "each"), [(100, 25), (3, 1), (0, 1), (10_000, 2_500)])
 def test_posts_per_term(limit, each):
     assert posts_per_term(limit) == each
 

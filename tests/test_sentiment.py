@@ -8,6 +8,7 @@ import re
 import pytest
 
 from sedimenta.functions.lexicon import default_lexicon
+from sedimenta.operators.joins import RepeatedKey, with_credibility
 from sedimenta.operators.sentiment import with_sentiment
 from sedimenta.schemas import LEXICON
 
@@ -91,3 +92,33 @@ def test_small_list_needs_no_shuffle(spark, plan):
     df = spark.createDataFrame([("good",)], "text_clean string")
     text = plan(with_sentiment(df, spark.createDataFrame(WORDS, LEXICON)))
     assert "Exchange" not in text and "Python" not in text.replace("PythonRDD", "")
+
+
+@pytest.mark.parametrize("inline", [10_000, 0])
+def test_score_depends_on_the_text_alone(spark, inline):
+    """Keys may be NULL or repeated."""
+    df = spark.createDataFrame(
+        [(None, "s", "good"), ("1", "s", "good"), ("1", "s", "bad"), ("1", "s", None)],
+        "id string, source string, text_clean string",
+    )
+    scored = with_sentiment(df, spark.createDataFrame(WORDS, LEXICON), max_inline_words=inline)
+    assert sorted(r.sentiment_score for r in scored.collect()) == [-0.5, 0.0, 0.75, 0.75]
+
+
+@pytest.mark.parametrize("inline", [10_000, 0])
+def test_a_word_may_be_listed_once(spark, inline):
+    twice = spark.createDataFrame([("good", 0.5, "polar"), ("good", 1.0, "polar")], LEXICON)
+    df = spark.createDataFrame([("good",)], "text_clean string")
+    with pytest.raises(RepeatedKey, match="good"):
+        with_sentiment(df, twice, max_inline_words=inline)
+
+
+def test_credibility_tables(spark):
+    df = spark.createDataFrame([("a",), ("b",), (None,)], "source string")
+    table = spark.createDataFrame([("a", 0.25), (None, 0.9)], "source string, credibility double")
+    large = {f"s{n}": 0.1 for n in range(2_000)} | {"a": 0.25}
+    for given in (table, large, {"a": 0.25}):
+        found = {r.source: r.source_credibility for r in with_credibility(df, given).collect()}
+        assert found == {"a": 0.25, "b": 0.5, None: 0.5}
+    with pytest.raises(RepeatedKey, match="source"):
+        with_credibility(df, table.unionByName(table))

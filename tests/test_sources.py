@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import json
 
 import pytest
@@ -154,10 +155,49 @@ def test_posts(spark, tmp_path):
     assert found["at://3"].text == "odd count"
 
 
-def test_unreadable_files_are_skipped(spark, tmp_path):
-    path = land(tmp_path / "in", POSTS)
-    (tmp_path / "in" / "broken.json.gz").write_bytes(b"\x1f\x8b\x08 not really compressed")
-    assert post_records(read_posts(spark, path)).count() == 3
+def cut_gzip(folder):
+    """A compressed file of many posts that breaks off."""
+    lines = "".join(json.dumps({"uri": f"cut://{n}", "query": "q"}) + "\n" for n in range(5_000))
+    whole = gzip.compress(lines.encode())
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / "cut.json.gz").write_bytes(whole[: len(whole) // 2])
+
+
+def test_a_file_that_breaks_off_fails_the_ingest(spark, tmp_path):
+    path, table = land(tmp_path / "in", POSTS), str(tmp_path / "bronze")
+    cut_gzip(tmp_path / "in")
+    with pytest.raises(Exception, match="(?i)unexpected end|corrupt|cannot read|FAILED_READ_FILE"):
+        ingest_posts(spark, path, table)
+    assert read_table(spark, table, BRONZE) is None
+
+
+def test_a_failing_term_spares_the_others(spark, tmp_path, caplog):
+    cut_gzip(tmp_path / "bad")
+    terms = {"news": land(tmp_path / "in", POSTS), "bad": str(tmp_path / "bad"), "none": str(tmp_path / "no")}
+    table = str(tmp_path / "bronze")
+    with caplog.at_level("WARNING"):
+        assert ingest_posts(spark, terms, table) == ["bad", "none"]
+    assert "'bad'" in caplog.text and "'none'" in caplog.text
+    assert read_table(spark, table, BRONZE).count() == 3
+
+
+def test_broken_lines_are_counted_and_kept(spark, tmp_path, caplog):
+    broken = ["not a post {", '{"uri": "at://9", "cid": "x", "rec']
+    path = land(tmp_path / "in", POSTS, extra=broken)
+    quarantine = str(tmp_path / "quarantine")
+    with caplog.at_level("WARNING"):
+        ingest_posts(spark, path, str(tmp_path / "bronze"), quarantine=quarantine)
+    assert "2 landed lines" in caplog.text
+    assert sorted(r.line for r in spark.read.parquet(quarantine).collect()) == sorted(broken)
+
+
+def test_all_posts_are_taken_unless_limited(spark, tmp_path):
+    many = [{"uri": f"at://{n}", "query": "news", "indexed_at": str(n)} for n in range(500)]
+    path = land(tmp_path / "in", many)
+    ingest_posts(spark, path, str(tmp_path / "all"))
+    assert read_table(spark, str(tmp_path / "all"), BRONZE).count() == 500
+    ingest_posts(spark, path, str(tmp_path / "some"), limit=40)
+    assert read_table(spark, str(tmp_path / "some"), BRONZE).count() == 10
 
 
 def test_ingest_posts_twice(spark, tmp_path):
