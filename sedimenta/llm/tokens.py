@@ -9,18 +9,18 @@ space next to each other is encoded as it is.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
-import numpy as np
-
 # Pieces that are remembered; a full memory is emptied.
-REMEMBERED = 1_000_000
+REMEMBERED = 1_500_000
 
 # Characters of texts that are cut at once.
 CUT_AT_ONCE = 4_000_000
 
 _RUN_OF_SPACE = re.compile(r"\s\s|\0")
-_RUN_OF_SIGNS = re.compile(r"[^\w][.,]|_[.,]|[.,](?:[^\w\s]|_)")
+# A comma or dot that comes after something else than a letter or digit, or before another sign.
+_RUN_OF_SIGNS = re.compile(r"[.,](?:(?<![^\W_][.,])|(?=[^\w\s]|_))")
 
 _encoders: dict[tuple[str, bool], "Encoder"] = {}
 
@@ -45,11 +45,12 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.keeps_space = keeps_space
         self.dtype = id_type(self.library.get_vocab_size())
+        self.code = {"<u2": "H", "<u4": "I"}[self.dtype]
         self.known: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.library.encode_batch(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in found]
+        return [array(self.code, e.ids).tobytes() for e in found]
 
     def _pieces(self, text: str) -> list[str]:
         if _RUN_OF_SPACE.search(text):
