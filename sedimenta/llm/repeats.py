@@ -404,13 +404,20 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     runs.drop()
 
     equal = Step(
-        held.df.groupBy("anchor", "digest").agg(F.min("doc_id").alias("first")), "equal"
+        held.df.groupBy("anchor", "digest").agg(
+            F.min("doc_id").alias("first"), F.count("*").alias("n_equal")
+        ),
+        "equal",
     )
     several = equal.df.groupBy("anchor").agg(F.count("*").alias("n_runs")).where("n_runs > 1")
-    judged = held.df.join(equal.df.join(several, "anchor", "left"), ["anchor", "digest"])
+    # A run that is neither repeated nor like another came only for copies of its document.
+    asked = equal.df.join(several, "anchor", "left").where("n_equal > 1 OR n_runs IS NOT NULL")
+    judged = held.df.join(asked.drop("n_equal"), ["anchor", "digest"])
     later = F.col("doc_id") > F.col("first")
     judged = judged.where(later | F.col("n_runs").isNotNull()).select(
-        "doc_id", "mark", "place", "n", "anchor", "n_runs", later.alias("later"),
+        "doc_id", "mark", "place", "n", later.alias("later"),
+        F.when(~later, F.col("anchor")).alias("anchor"),
+        F.when(~later, F.col("n_runs")).alias("n_runs"),
         F.when(~later, F.col("octets")).alias("octets"),
     )
     judged = Step(judged, "judged").df
