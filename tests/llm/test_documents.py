@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import sys
 import zlib
@@ -135,6 +136,49 @@ def test_one_of_each_group_stays(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 4, 5, 7]
 
 
+def edited(base: list[str], share: float, seed: int) -> str:
+    """``base`` with words replaced until its shingles of five are alike to just ``share``."""
+    rng, text, n = random.Random(seed), list(base), len(base) - 4
+    places = rng.sample(range(len(base)), len(base))
+
+    def alike(words_):
+        a, b = shingles(" ".join(base)), shingles(" ".join(words_))
+        return len(a & b) / len(a | b)
+
+    for i in places:
+        tried = [*text[:i], f"new{seed}-{i}", *text[i + 1 :]]
+        if alike(tried) >= share:
+            text = tried
+    return " ".join(text)
+
+
+def shingles(text: str) -> set[tuple[str, ...]]:
+    found = text.split()
+    return {tuple(found[i : i + 5]) for i in range(max(1, len(found) - 4))}
+
+
+def test_shingles_decide_about_near_duplicates(spark):
+    """Pairs alike to 0.80, 0.82 and 0.85 go, pairs alike to less stay."""
+    rows, seed = [], 1_000
+    for share in (0.80, 0.82, 0.85, 0.70, 0.75):
+        for size in range(100, 400, 20):
+            base = words(size, seed).split()
+            rows += [(2 * seed, " ".join(base)), (2 * seed + 1, edited(base, share, seed))]
+            seed += 1
+    texts = [shingles(t) for _, t in rows]
+    links = [
+        (i, j) for i in range(len(rows)) for j in range(i)
+        if 10 * len(texts[i] & texts[j]) >= 8 * len(texts[i] | texts[j])
+    ]
+    roots = plain_components(len(rows), links)
+    first: dict[int, int] = {}
+    for (doc, _), root in zip(rows, roots):
+        first[root] = min(doc, first.get(root, doc))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(r.doc_id for r in simhash.without_near_duplicates(df).collect())
+    assert kept == sorted(first.values())
+
+
 # --- benchmark items ----------------------------------------------------------------
 
 
