@@ -12,6 +12,7 @@ that is unique at a shorter length leaves at once, and most do:
    that has one keeps it. In any later one the run is removed.
 3. Runs that share an anchor without being equal may still share some of their suffixes. These
    are named at 32 and at 50 bytes, sorted, and each but those of the first document is removed.
+   Where an anchor has very many runs, Spark counts their suffixes as strings instead.
 
 Names are 64 bits wide and only ever bring equal strings together; strings are compared as bytes
 before anything is removed.
@@ -37,7 +38,7 @@ NAMES = LENGTH - ANCHOR + 1
 # that repeats itself has the same anchor on and on).
 PIECE, SORTED, LONGEST = 1 << 21, 1 << 20, 64
 
-# Runs of one anchor that are compared in one group; more are dealt out by the suffixes' names.
+# Runs of one anchor that are compared in one group; of more, each suffix is a row of its own.
 GROUP = 1 << 16
 ROWS = 1 << 17
 
@@ -275,9 +276,6 @@ def _shared_suffixes(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
     inside = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
     at = (np.cumsum(sizes) - sizes)[row] + inside
     names = suffix_names(flat)[at]
-    parts, part = table["parts"].to_numpy(), table["part"].to_numpy()
-    mine = (names >> np.uint64(7)) % parts[row].astype(np.uint64) == part[row].astype(np.uint64)
-    row, inside, at, names = row[mine], inside[mine], at[mine], names[mine]
     anchor, doc = table["anchor"].to_numpy(), table["doc_id"].to_numpy()
     order = np.lexsort((doc[row], anchor[row], names))
     row, inside, at, names = row[order], inside[order], at[order], names[order]
@@ -311,7 +309,7 @@ def _shared_suffixes(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
 
 
 def _by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (anchor, part) in; whole groups are compared together."""
+    """Rows sorted by anchor in; whole groups are compared together."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
         if not batch.num_rows:
@@ -321,8 +319,8 @@ def _by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         # The last group may go on in the next batch.
         table = pa.Table.from_batches(held).combine_chunks()
-        anchor, part = table["anchor"].to_numpy(), table["part"].to_numpy()
-        ended = np.flatnonzero((anchor != anchor[-1]) | (part != part[-1]))
+        anchor = table["anchor"].to_numpy()
+        ended = np.flatnonzero(anchor != anchor[-1])
         cut = int(ended[-1]) + 1 if len(ended) else 0
         if cut:
             yield _shared_suffixes(table.slice(0, cut).to_batches())
@@ -331,6 +329,41 @@ def _by_group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _shared_suffixes(held)
 
 
+def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs in; a row for each suffix, with its ``LENGTH`` bytes, out."""
+    for batch in batches:
+        for few in (batch.slice(i, ROWS // LONGEST) for i in range(0, batch.num_rows, ROWS // LONGEST)):
+            held = [x.as_py() for x in few["octets"]]
+            counts = np.array([len(x) - LENGTH + 1 for x in held], np.int64)
+            row = np.repeat(np.arange(len(held)), counts)
+            inside = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+            strings = [x[i : i + LENGTH] for x in held for i in range(len(x) - LENGTH + 1)]
+            place = few["place"].to_numpy()[row] + inside
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(strings, pa.binary()), few["doc_id"].take(pa.array(row)),
+                 few["mark"].take(pa.array(row)), pa.array(place.astype(np.int64))],
+                ["string", "doc_id", "mark", "place"],
+            )
+
+
+def _shared_strings(runs: DataFrame) -> DataFrame:
+    """Spans of the suffixes that a run of another, earlier document has too.
+
+    Rows grow with the bytes of the runs. First documents are combined per task, and a string of
+    very many runs is split at run time by the skew join.
+    """
+    suffixes = runs.select("octets", "doc_id", "mark", "place").mapInArrow(
+        _suffixes, "string binary, doc_id long, mark long, place long"
+    )
+    first = suffixes.groupBy("string").agg(
+        F.min("doc_id").alias("first"), F.max("doc_id").alias("last")
+    )
+    first = Step(first.where("first < last").select("string", "first"), "firsts").df
+    return suffixes.join(first, "string").where("doc_id > first").select(
+        "doc_id", "mark", "place", F.lit(1).cast("long").alias("n")
+    )
+
+
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out: list[list] = [[] for _ in range(3)]
@@ -369,7 +402,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     Whole copies are known by a digest of the text and need no runs. Texts are shuffled twice, to
     meet their repeated runs and their spans; everything else that is shuffled is a few bytes per
-    run, and no task gets more than a bounded part of the runs of one anchor.
+    run, and of an anchor with more than ``GROUP`` runs a row per suffix: no task gets them all.
     """
     spark = docs.sparkSession
     ship_code(spark)
@@ -424,13 +457,11 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     held.drop()
     equal.drop()
 
-    parts = F.ceil(F.col("n_runs") / GROUP).cast("int")
-    group = judged.where(~F.col("later")).select(
-        "anchor", parts.alias("parts"), "doc_id", "mark", "place", "octets",
-        F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"),
-    )
-    group = group.repartition("anchor", "part").sortWithinPartitions("anchor", "part")
+    open_ = judged.where(~F.col("later"))
+    group = open_.where(F.col("n_runs") <= GROUP).select("anchor", "doc_id", "mark", "place", "octets")
+    group = group.repartition("anchor").sortWithinPartitions("anchor")
     shared = group.mapInArrow(_by_group, "doc_id long, mark long, place long, n long")
+    shared = shared.unionByName(_shared_strings(open_.where(F.col("n_runs") > GROUP)))
     removed = judged.where("later").select("doc_id", "mark", "place", F.col("n").cast("long"))
     copied = copies.select("doc_id", "mark", F.lit(0).cast("long").alias("place"), F.lit(-1).cast("long").alias("n"))
     spans = removed.unionByName(shared).unionByName(copied).groupBy("doc_id", "mark").agg(

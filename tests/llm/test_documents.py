@@ -62,6 +62,24 @@ def test_repeats(spark, monkeypatch):
     assert repeats.without_repeats(no_documents(spark)).count() == 0
 
 
+def test_runs_of_a_hot_anchor_are_never_sent_to_every_task(spark, monkeypatch, plan):
+    """A phrase in many documents, in other words each time, and one with a part of its context."""
+    phrase, longer = words(6, 71)[:40], words(40, 72)[:70]
+    rows = [
+        (n, f"{words(30, 7_000 + n)} {phrase if n % 2 else longer} {words(30, 8_000 + n)}")
+        for n in range(60)
+    ]
+    rows += [(100 + n, "z" + t[20:-20]) for n, t in rows[:20]]
+    expected = plain_repeats(rows)
+    monkeypatch.setattr(repeats, "GROUP", 2)
+    found = repeats.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert "sequence(0" not in plan(found)
+    texts = dict(rows)
+    for r in found.collect():
+        spans = [(s.start, s.stop) for s in r.spans]
+        assert (r.n_bytes, spans, bytes(r.kept)) == expected[r.row.doc_id, texts[r.row.doc_id]]
+
+
 def test_names_are_those_of_equal_strings():
     octets = (words(300, 7) * 2).encode()
     for names, width in ((repeats.anchor_names(octets), 24), (repeats.suffix_names(octets), 50)):
@@ -138,12 +156,12 @@ def test_one_of_each_group_stays(spark):
 
 def edited(base: list[str], share: float, seed: int) -> str:
     """``base`` with words replaced until its shingles of five are alike to just ``share``."""
-    rng, text, n = random.Random(seed), list(base), len(base) - 4
-    places = rng.sample(range(len(base)), len(base))
+    rng, text = random.Random(seed), list(base)
+    places, whole = rng.sample(range(len(base)), len(base)), shingles(" ".join(base))
 
     def alike(words_):
-        a, b = shingles(" ".join(base)), shingles(" ".join(words_))
-        return len(a & b) / len(a | b)
+        other = shingles(" ".join(words_))
+        return len(whole & other) / len(whole | other)
 
     for i in places:
         tried = [*text[:i], f"new{seed}-{i}", *text[i + 1 :]]
