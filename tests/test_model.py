@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import inspect
 import math
 import random
 
 import pytest
+from pyspark.ml.feature import HashingTF
 from pyspark.sql import functions as F
 
 from sedimenta.operators.model import (
@@ -137,3 +139,10 @@ def test_loss_and_metrics_of_candidates(spark):
         chances = [(r.probability[r.label_binary]) for r in alone.collect()]
         loss = -sum(map(math.log, chances)) / len(chances)
         assert found[n].eval_loss == pytest.approx(loss)
+
+
+def test_terms_are_hashed_as_finely_as_the_library_does():
+    """The defaults cut no buckets."""
+    given = HashingTF().getNumFeatures()
+    assert inspect.signature(train_classifier).parameters["n_features"].default == given
+    assert inspect.signature(feature_stages).parameters["n_features"].default == given
