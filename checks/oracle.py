@@ -604,7 +604,12 @@ ORACLE = {
         "bronze",
     ),
     "evaluate_scored": with_tables(
-        "SELECT count(*) AS n_rows, true AS scored FROM gold WHERE split = 'test'", "gold"
+        """
+        SELECT label_binary AS label, count(*) AS n_rows, count(DISTINCT (id, source)) AS n_keys,
+               0::BIGINT AS n_missing, true AS agrees, true AS named, true AS scored
+        FROM gold WHERE split = 'test' GROUP BY label_binary
+        """,
+        "gold",
     ),
     "argmax_prediction": with_tables(
         "SELECT vec_id, label, CAST(position AS INTEGER) AS position FROM guesses", "guesses"

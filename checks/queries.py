@@ -635,14 +635,33 @@ def score_batch(spark, folder):
 
 @query
 def evaluate_scored(spark, folder):
-    """The model on the rows of the test split, which it has not seen."""
+    """The model on the rows of the test split, which it has not seen.
+
+    The metrics of each class are compared with what its rows give when they are counted plainly.
+    """
     fitted, _ = trained(spark, folder)
     held_out = known_labels(silver(spark, folder)).where(hash_split(F.col("id")) == TEST)
     texts = held_out.select("id", "source", "text", F.col("label_binary").alias("label"))
+    path = scratch_path(spark, "scored")
     scored = score_texts(fitted, texts, given.lexicon(spark), "1", given.CREDIBILITY)
-    return metrics.classification_metrics(scored).select(
-        "n_rows", shares("f1", "accuracy", "precision", "recall").alias("scored")
+    scored.write.parquet(path)
+    scored = spark.read.parquet(path)
+    found = metrics.classification_metrics(scored).crossJoin(
+        scored.agg(
+            F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("right"),
+            F.avg((F.col("predicted_label") == "credible").cast("double")).alias("credible"),
+        )
+    )
+    by_class = scored.groupBy(F.col("label").cast("int").alias("label")).agg(
+        F.count("*").alias("n_rows"), F.count_distinct("id", "source").alias("n_keys"),
+        F.count_if(F.col("text").isNull()).alias("n_missing"),
+    )
+    counted = found.select(
+        (F.abs(F.col("accuracy") - F.col("right")) < 1e-9).alias("agrees"),
+        F.col("credible").between(0.0, 1.0).alias("named"),
+        shares("f1", "accuracy", "precision", "recall").alias("scored"),
     )
+    return by_class.crossJoin(counted)
 
 
 @query
@@ -652,7 +671,7 @@ def token_features(spark, folder):
     Fewer buckets than usual, because a query can only look into a vector by making it dense.
     """
     silver_rows = silver(spark, folder)
-    fitted = model.feature_stages(n_features=1 << 12).fit(silver_rows)
+    fitted = model.feature_stages(n_features=1 << 12, min_docs=1).fit(silver_rows)
     counts, weights = vector_to_array("term_counts"), vector_to_array("features")
     total = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
     same = F.forall(

@@ -8,13 +8,14 @@ from multiprocessing.pool import ThreadPool
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import IDF, HashingTF, SQLTransformer, VectorAssembler
+from pyspark.ml.feature import IDF, CountVectorizer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.records import class_name
 from ..functions.text import valid_for_scoring
+from ..session import discard, scratch_path
 from .metrics import best_model, classification_metrics
 
 RATIO_COLUMNS = [
@@ -30,24 +31,54 @@ def feature_stages(
     n_features: int = 1 << 18,
     max_tokens: int | None = None,
     extra: Sequence[str] = (),
+    min_docs: int = 2,
 ) -> Pipeline:
     """Hashed term weights of the cleaned text, and ``extra`` numeric columns.
 
+    Terms are hashed into ``n_features`` buckets, and those that occur in ``min_docs`` training
+    rows at least get a place in the vector. So the vectors, and the gradients that each task
+    sends in each iteration, are as wide as the training rows need and never wider than
+    ``n_features``, and so is what the driver holds of them. Buckets that training has not seen
+    have no weight to learn; scored rows leave them out.
+
     All tokens count unless ``max_tokens`` keeps only the first ones, as models with a fixed
     input width need it.
     """
     words = "split(text_clean, ' ')"
     if max_tokens is not None:
         words = f"slice({words}, 1, {max_tokens})"
+    bucket = f"CAST(pmod(xxhash64(word), {n_features}) AS STRING)"
     stages = [
         SQLTransformer(statement=f"SELECT *, {words} AS tokens FROM __THIS__"),
-        HashingTF(inputCol="tokens", outputCol="term_counts", numFeatures=n_features),
+        SQLTransformer(
+            statement=f"SELECT *, transform(tokens, word -> {bucket}) AS buckets FROM __THIS__"
+        ),
+        CountVectorizer(
+            inputCol="buckets", outputCol="term_counts", vocabSize=n_features,
+            minDF=float(min_docs),
+        ),
         IDF(inputCol="term_counts", outputCol="terms"),
         VectorAssembler(inputCols=["terms", *extra], outputCol="features"),
     ]
     return Pipeline(stages=stages)
 
 
+def without_summary(
+    spark: SparkSession, model: LogisticRegressionModel
+) -> LogisticRegressionModel:
+    """The same model without what it knows about its training.
+
+    A training summary holds the session, and scoring sends a model to the executors whole; a
+    session that has observed a metric once cannot be sent.
+    """
+    path = scratch_path(spark, "model")
+    try:
+        model.write().save(path)
+        return LogisticRegressionModel.load(path)
+    finally:
+        discard(spark, path)
+
+
 def train_classifier(
     train: DataFrame,
     val: DataFrame,
@@ -57,40 +88,66 @@ def train_classifier(
     extra: Sequence[str] = (),
     weight: str | None = None,
     max_iter: int = 20,
+    min_docs: int = 2,
 ) -> tuple[PipelineModel, DataFrame]:
     """Fit one classifier per ``reg_params`` on train, keep the one with the best F1 on val.
 
     Both tables need ``text_clean`` and ``label_binary``. Returns the model and one row of
     validation metrics per candidate, ``eval_loss`` (mean log loss) among them.
     """
-    features = feature_stages(n_features, max_tokens, extra).fit(train)
-    columns = ["features", "label_binary", *([weight] if weight else [])]
-    train_vectors = features.transform(train).select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
-    val_vectors = features.transform(val).select("features", "label_binary")
-    estimator = LogisticRegression(labelCol="label_binary", maxIter=max_iter)
-    if weight:
-        estimator = estimator.setWeightCol(weight)
-    # Each fit is a row of short jobs; side by side they fill the gaps between them.
-    fits = estimator.fitMultiple(train_vectors, [{estimator.regParam: r} for r in reg_params])
     spark = train.sparkSession
+    features = feature_stages(n_features, max_tokens, extra, min_docs).fit(train)
+    known = ["features", "label_binary"]
+    # Written once: each step of each fit then sends its tasks a scan, and no vocabulary.
+    paths = [scratch_path(spark, "vectors") for _ in range(2)]
     try:
-        with ThreadPool(len(reg_params)) as pool:
-            models = dict(
-                pool.imap_unordered(
-                    inheritable_thread_target(spark)(lambda _: next(fits)), reg_params
-                )
-            )
+        weighted = [*known, weight] if weight else known
+        vectors(features, train).select(*weighted).write.parquet(paths[0])
+        vectors(features, val).select(*known).write.parquet(paths[1])
+        train_vectors, val_vectors = map(spark.read.parquet, paths)
+        models = _fitted(train_vectors, reg_params, weight, max_iter)
+        found = _evaluations(val_vectors, models, reg_params)
+        rows = found.collect()
     finally:
-        train_vectors.unpersist()
+        for path in paths:
+            discard(spark, path)
     # A row per candidate: kept as values, so that it does not depend on the validation rows.
-    found = _evaluations(val_vectors, [models[n] for n in range(len(reg_params))], reg_params)
-    metrics = spark.createDataFrame(found.collect(), found.schema)
+    metrics = spark.createDataFrame(rows, found.schema)
     chosen = best_model(metrics).head()
     if chosen is None or chosen["f1"] is None:
         raise ValueError("no validation rows to choose a model by")
     return PipelineModel(stages=[features, models[chosen["candidate"]]]), metrics
 
 
+def vectors(features: PipelineModel, rows: DataFrame) -> DataFrame:
+    """``rows`` with their features, without a name for each place in the vector.
+
+    The names would go into the schema, and with it into each task and file.
+    """
+    unnamed = F.col("features").alias("features", metadata={"ml_attr": {}})
+    return features.transform(rows).withColumn("features", unnamed)
+
+
+def _fitted(
+    rows: DataFrame, reg_params: Sequence[float], weight: str | None, max_iter: int
+) -> list[LogisticRegressionModel]:
+    """A model per regularization."""
+    spark = rows.sparkSession
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    estimator = LogisticRegression(labelCol="label_binary", maxIter=max_iter)
+    if weight:
+        estimator = estimator.setWeightCol(weight)
+    # Each fit is a row of short jobs; side by side they fill the gaps between them.
+    fits = estimator.fitMultiple(rows, [{estimator.regParam: r} for r in reg_params])
+    try:
+        with ThreadPool(len(reg_params)) as pool:
+            fit = inheritable_thread_target(spark)(lambda _: next(fits))
+            found = dict(pool.imap_unordered(fit, reg_params))
+    finally:
+        rows.unpersist()
+    return [without_summary(spark, found[n]) for n in range(len(reg_params))]
+
+
 # Probabilities are kept from 0 and 1 by this much, so that a sure and wrong one has a loss.
 TINY = 1e-15
 

@@ -8,14 +8,17 @@ import random
 
 import pytest
 from pyspark.ml.feature import HashingTF
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from sedimenta.operators.model import (
     feature_stages,
     score,
     train_classifier,
+    vectors,
     with_class_weights,
     with_validity,
+    without_summary,
 )
 
 
@@ -34,6 +37,10 @@ def table(spark):
 
 @pytest.fixture(scope="module")
 def trained(table):
+    # A session that has observed a metric holds what cannot be sent to executors.
+    seen = Observation()
+    table.observe(seen, F.count("*").alias("n")).write.format("noop").mode("overwrite").save()
+    assert seen.get["n"] == 400
     weighted = with_class_weights(table)
     train, val = weighted.where("id % 5 > 0"), weighted.where("id % 5 = 0")
     return train_classifier(
@@ -104,10 +111,30 @@ def test_all_tokens_count_unless_limited(spark):
     text = " ".join(f"w{n}" for n in range(300))
     df = spark.createDataFrame([(text,)], "text_clean string")
     for limit, expected in ((None, 300), (128, 128)):
-        fitted = feature_stages(1 << 10, max_tokens=limit).fit(df)
+        fitted = feature_stages(1 << 10, max_tokens=limit, min_docs=1).fit(df)
         assert fitted.transform(df).select(F.size("tokens")).head()[0] == expected
 
 
+def test_vectors_are_as_wide_as_the_training_rows_need(spark):
+    rows = [("a b", ), ("a c",), ("b a a",), ("d",)]
+    df = spark.createDataFrame(rows, "text_clean string")
+    for least, terms in ((1, 4), (2, 2), (3, 1)):
+        fitted = feature_stages(1 << 18, min_docs=least).fit(df)
+        found = vectors(fitted, df).select("text_clean", "term_counts", "features").collect()
+        assert {r.features.size for r in found} == {terms}
+        # Terms that training does not know are left out, in rows to be scored as well.
+        known = {1: "abcd", 2: "ab", 3: "a"}[least]
+        for r in found:
+            assert sum(r.term_counts.values) == sum(w in known for w in r.text_clean.split())
+    new = spark.createDataFrame([("z z a",), ("",)], "text_clean string")
+    assert [r.term_counts.numNonzeros() for r in fitted.transform(new).collect()] == [1, 0]
+
+
+def test_vectors_name_no_places(spark, table):
+    df = vectors(feature_stages(1 << 10).fit(table), table)
+    assert "attrs" not in df.schema["features"].json()
+
+
 def test_no_validation_rows(table):
     with pytest.raises(ValueError, match="validation"):
         train_classifier(table, table.where("false"), reg_params=(0.1,), n_features=64, max_iter=1)
@@ -130,7 +157,10 @@ def test_loss_and_metrics_of_candidates(spark):
     rows = [(Vectors.dense([rng.random() + n % 2, rng.random()]), n % 2) for n in range(60)]
     df = spark.createDataFrame(rows, ["features", "label_binary"])
     learner = LogisticRegression(labelCol="label_binary", maxIter=5)
-    models = [learner.copy({learner.regParam: r}).fit(df) for r in (0.01, 1.0)]
+    models = [
+        without_summary(spark, learner.copy({learner.regParam: r}).fit(df)) for r in (0.01, 1.0)
+    ]
+    assert not any(m.hasSummary for m in models)
     found = {r.candidate: r for r in _evaluations(df, models, (0.01, 1.0)).collect()}
     for n, fitted in enumerate(models):
         alone = fitted.transform(df)

@@ -91,8 +91,16 @@ def test_credibility_from_a_map(spark):
     df = column(spark, SOURCES)
     assert results(df, credibility(F.col("v"))) == pytest.approx(list(SOURCES.values()))
     assert results(df, credibility(F.col("v"), {})) == [0.5] * len(SOURCES)
-    with pytest.raises(ValueError):
-        credibility(F.col("v"), {str(n): 0.1 for n in range(5000)})
+
+
+def test_credibility_from_a_large_map(spark, plan):
+    """A map of many sources is joined as a table, with the same scores."""
+    rows = column(spark, SOURCES).withColumnRenamed("v", "source")
+    known = {str(n): 0.1 for n in range(5000)} | {"liar": 0.7, "fakenewsnet": 0.6, "bluesky": 0.3}
+    joined = with_credibility(rows, known)
+    assert "Join" in plan(joined)
+    found = {r.source: r.source_credibility for r in joined.collect()}
+    assert found == pytest.approx(SOURCES)
 
 
 def test_credibility_from_a_table(spark):
