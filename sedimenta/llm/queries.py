@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .ann import nearest
 from .common import read_table
+from .conversations import COUNTS, repair_report
 from .decontaminate import contained_items
 from .huffman import read_token_file, write_token_file
 from .main_text import main_text
 from .packing import packed
 from .pii import KINDS, find_personal_data, span_list
 from .repeats import without_repeats
+from .resample import drawn
 from .simhash import near_duplicates
 from .tokens import vocabulary
 from .toxicity import toxicity
@@ -126,6 +128,50 @@ def op7_url_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "pattern")
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns with faults, by a hash of conversation and turn; NULLs are one space."""
+    space = F.lit(" ")
+    name = F.concat(
+        F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"),
+        F.coalesce(F.col("turn").cast("string"), space),
+    )
+    turns = turns.select(
+        "conv_id", "turn", F.coalesce("role", space).alias("role"),
+        F.coalesce("text", space).alias("text"), (F.crc32(name) % 20).alias("fault"),
+    )
+    fault = F.col("fault")
+    text = (
+        F.when(fault == 1, "").when(fault == 2, F.regexp_replace("text", "[.!?]", ""))
+        .otherwise(F.col("text"))
+    )
+    times = F.when(fault == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return turns.where(fault != 0).select(
+        "conv_id", "turn", F.when(fault == 4, "user").otherwise(F.col("role")).alias("role"),
+        text.alias("text"), F.explode(times).alias("_time"),
+    ).drop("_time")
+
+
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns = read_table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    report = repair_report(damaged(turns)).withColumnRenamed("conv_id", "_conv")
+    found = turns.select("conv_id").distinct().join(
+        report, F.col("conv_id").eqNullSafe(F.col("_conv")), "left"
+    )
+    # Conversations of which no turn is left are in no report.
+    return found.select(
+        "conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in COUNTS],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+def op12_resample(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    return drawn(docs, read_table(spark, folder, "benchmark")).select(
+        "row.doc_id", "n_features", "weight", "score", "rank"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repeats": op1_repeats,
     "op2_near_duplicates": op2_near_duplicates,
@@ -137,4 +183,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_main_text": op9_main_text,
     "op10_packing": op10_packing,
     "op7_url_rules": op7_url_rules,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_resample": op12_resample,
 }
