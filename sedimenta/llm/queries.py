@@ -19,6 +19,7 @@ from .pii import KINDS, find_personal_data, span_list
 from .repeats import without_repeats
 from .resample import drawn
 from .simhash import near_duplicates
+from .sketches import sketch_duplicates
 from .tokens import vocabulary
 from .toxicity import toxicity
 from .url_rules import ALLOW, BLOCK, HostRule, PatternRule, judge_urls
@@ -172,6 +173,11 @@ def op12_resample(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_sketch_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    return sketch_duplicates(docs).select("row.doc_id", "n_shingles", "component_id", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repeats": op1_repeats,
     "op2_near_duplicates": op2_near_duplicates,
@@ -185,4 +191,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_url_rules": op7_url_rules,
     "op11_conversation_repair": op11_conversation_repair,
     "op12_resample": op12_resample,
+    "op13_sketch_duplicates": op13_sketch_duplicates,
 }

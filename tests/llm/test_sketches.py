@@ -1,0 +1,142 @@
+"""Near-duplicates by bottom-k sketches against all pairs."""
+
+from __future__ import annotations
+
+import random
+import re
+import sys
+from pathlib import Path
+
+import numpy as np
+import pytest
+
+sys.path.insert(0, str(Path(__file__).parent))
+
+from frames import no_documents, odd_documents, words  # noqa: E402
+
+from sedimenta.llm import sketches  # noqa: E402
+from sedimenta.llm.queries import op13_sketch_duplicates  # noqa: E402
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def plain_set(text, size=2):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    found = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    if 0 < len(found) < size:
+        return {tuple(found)}
+    return {tuple(found[i : i + size]) for i in range(len(found) - size + 1)}
+
+
+def plain_components(docs):
+    """(n_shingles, component) of each row, by comparing all pairs; equal ids are one document."""
+    sets = [plain_set(t) for _, t in docs]
+    root = {d: d for d, _ in docs if d is not None}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    holders: dict = {}
+    for i, s in enumerate(sets):
+        for shingle in s:
+            holders.setdefault(shingle, []).append(i)
+    for i, (doc, _) in enumerate(docs):
+        common: dict[int, int] = {}
+        for shingle in sets[i]:
+            for j in holders[shingle]:
+                if j < i:
+                    common[j] = common.get(j, 0) + 1
+        for j, n in common.items():
+            other = docs[j][0]
+            if doc is None or other is None:
+                continue
+            if 100 * n >= 80 * (len(sets[i]) + len(sets[j]) - n):
+                a, b = sorted((find(doc), find(other)))
+                root[b] = a
+    return [(len(s), None if d is None else find(d)) for (d, _), s in zip(docs, sets)]
+
+
+def compared(df, settings=sketches.Sketches()):
+    rows = [(r.doc_id, r.text) for r in df.collect()]
+    expected = [(d, n, c, d is None or d == c) for (d, _), (n, c) in zip(rows, plain_components(rows))]
+    found = sketches.sketch_duplicates(df, settings)
+    result = [(r.row.doc_id, r.n_shingles, r.component_id, r.kept) for r in found.collect()]
+    assert sorted(map(str, result)) == sorted(map(str, expected))
+    return found
+
+
+def edited(text, edits, seed):
+    rng = random.Random(seed)
+    found = text.split()
+    for at in rng.sample(range(len(found)), edits):
+        found[at] = f"x{rng.randrange(10**6)}"
+    return " ".join(found)
+
+
+def test_odd_documents(spark):
+    df = odd_documents(spark).withColumnRenamed("n", "members").withColumnRenamed("key", "mark")
+    found = compared(df)
+    assert found.schema["row"].dataType.names == ["doc_id", "mark", "members"]
+    assert sketches.sketch_duplicates(no_documents(spark)).count() == 0
+
+
+@pytest.fixture(scope="module")
+def crowd(spark):
+    """Copies of one text with more and more edits, one passage in many texts, short texts."""
+    base, passage = words(120, 1), words(25, 2)
+    texts = [edited(base, n % 17, n) for n in range(60)]
+    texts += [f"{words(30, 500 + n)} {passage} {words(20, 900 + n)}" for n in range(40)]
+    texts += [edited(words(n, 3), n // 12, n) for n in range(3, 40)]
+    texts += [" ".join(words(5, 4).split()[: n % 6]) for n in range(12)]
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+
+@pytest.mark.parametrize(
+    "settings",
+    [
+        sketches.Sketches(),
+        # Small limits, so that the ways for long lists and long sets are gone here as well.
+        sketches.Sketches(short=3, enough=40, tile=4, rounds=1),
+        sketches.Sketches(short=2, tile=3, kept=64, listed=28, enough=28, hot_listed=28),
+    ],
+)
+def test_crowd(crowd, settings):
+    compared(crowd, settings)
+
+
+def test_links_of_tiles_are_fewer_than_members(spark, plan):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    sets = [np.sort(np.concatenate([np.arange(80), rng.integers(1000, 10**9, 5)])) for _ in range(40)]
+    table = pa.table({
+        "id": list(range(40)), "part": list(range(40)), "side": [0] * 40, "step": [0] * 40,
+        "members": [s.astype("<u8").tobytes() for s in sets],
+    })
+    found = sketches._tile_links(table, sketches.Sketches(), ["a", "b"])
+    assert found.num_rows == 39
+
+
+def test_estimates_lose_no_link():
+    """Pairs at the limit pass the filter; most of those far below do not."""
+    rng = np.random.default_rng(3)
+    settings = sketches.Sketches()
+    least = 0.8 * settings.kept - settings.slack * (0.16 * settings.kept) ** 0.5
+    passed = {0.8: 0, 0.3: 0}
+    for share in passed:
+        for _ in range(2_000):
+            union = np.sort(rng.integers(0, 2**63, 900).astype(np.uint64))
+            kind = rng.random(900)
+            a, b = union[kind < (1 + share) / 2], union[(kind < share) | (kind >= (1 + share) / 2)]
+            size, common = sketches._estimated(a[: settings.kept], b[: settings.kept], settings.kept)
+            assert size == settings.kept
+            passed[share] += common >= least
+    assert passed[0.8] == 2_000 and passed[0.3] < 20
+
+
+def test_query(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
+    expected = {(d, n, c, d == c) for (d, _), (n, c) in zip(docs, plain_components(docs))}
+    assert {tuple(r) for r in op13_sketch_duplicates(spark, FOLDER).collect()} == expected
