@@ -89,3 +89,8 @@ def avg_word_length(char_count: Column, words: Column) -> Column:
 def valid_for_scoring(text: Column) -> Column:
     """Whether a text has an accepted length; NULL has not."""
     return F.coalesce(F.length(text).between(MIN_TEXT_CHARS, MAX_TEXT_CHARS), F.lit(False))
+
+
+def text_digest(text: Column) -> Column:
+    """32 bytes that tell texts apart."""
+    return F.unhex(F.sha2(text, 256))

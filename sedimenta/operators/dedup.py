@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from ..constants import KEYS
+from ..functions.text import text_digest
 
 
 def first_of_group(
@@ -26,12 +27,10 @@ def first_of_group(
 def distinct_texts(df: DataFrame) -> DataFrame:
     """One row per ``(text, source)``: the earliest ingested, ties by id.
 
-    The leading 64-bit hash makes the sorts compare numbers; long texts are compared only
-    where the hash is equal. NULL texts form a group like any other.
+    Texts are told apart by their digests: no sort compares texts, and the rows go through one
+    shuffle. NULL texts form a group like any other.
     """
-    return first_of_group(
-        df, [F.xxhash64("text"), "text", "source"], ["ingested_at", "id"]
-    )
+    return first_of_group(df, [text_digest(F.col("text")), "source"], ["ingested_at", "id"])
 
 
 def unique_keys(
@@ -47,7 +46,7 @@ def dedup_counts(df: DataFrame) -> DataFrame:
     Texts enter the shuffle as 32-byte digests, combined per map task.
     """
     groups = df.groupBy(
-        F.unhex(F.sha2("text", 256)).alias("digest"), "source"
+        text_digest(F.col("text")).alias("digest"), "source"
     ).agg(F.count(F.lit(1)).alias("n"))
     return groups.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows_before"),

@@ -73,8 +73,8 @@ def insert_new(
     schema: T.StructType,
     keys: Sequence[str] = KEYS,
     partition_by: Sequence[str] = (),
-) -> None:
-    """Append the rows whose key is new; rows already in the table stay as they are.
+) -> int:
+    """Append the rows whose key is new and return how many; rows already in the table stay as they are.
 
     A key the batch holds twice goes in once. Of a table that is partitioned by part of its key
     only the partitions of the batch are read. A batch without new rows writes nothing, and
@@ -87,16 +87,39 @@ def insert_new(
     try:
         if target is not None:
             if partition_by:
-                target = target.where(_listed(batch, partition_by))
+                target = target.where(listed(batch, partition_by))
             fresh = unmatched(fresh, target, keys)
         fresh.write.parquet(staged_path)
         staged = spark.read.schema(schema).parquet(staged_path)
-        if not staged.isEmpty():
-            write_table(staged, path, partition_by, mode="append")
+        return _appended(staged, path, partition_by)
     finally:
         discard(spark, staged_path)
 
 
+def append(
+    batch: DataFrame, path: str, schema: T.StructType, partition_by: Sequence[str] = ()
+) -> int:
+    """Append rows that are known to be new, and return how many; none write nothing.
+
+    The batch is computed once, into the scratch folder, and its rows are brought together by
+    partition from there.
+    """
+    spark = batch.sparkSession
+    staged_path = scratch_path(spark, "batch")
+    try:
+        batch.select(*schema.names).write.parquet(staged_path)
+        return _appended(spark.read.schema(schema).parquet(staged_path), path, partition_by)
+    finally:
+        discard(spark, staged_path)
+
+
+def _appended(staged: DataFrame, path: str, partition_by: Sequence[str]) -> int:
+    n_rows = staged.count()
+    if n_rows:
+        write_table(staged, path, partition_by, mode="append")
+    return n_rows
+
+
 def upsert(
     batch: DataFrame,
     path: str,
@@ -104,9 +127,11 @@ def upsert(
     keys: Sequence[str] = KEYS,
     partition_by: Sequence[str] = (),
     partitions_follow_key: bool = False,
-) -> None:
+) -> int:
     """Replace the rows whose key is in the batch, insert the others, keep the rest.
 
+    Returns the rows of the batch.
+
     The batch is computed once, into the scratch folder: its keys, partitions and rows are
     each read from there. Only partitions the batch touches are read and rewritten, unless a row
     moves to another partition; ``partitions_follow_key`` says that none ever does, which saves
@@ -118,19 +143,21 @@ def upsert(
     try:
         batch.select(*schema.names).write.parquet(staged_path)
         staged = spark.read.schema(schema).parquet(staged_path)
-        if staged.isEmpty() and target is not None:
-            return
+        n_rows = staged.count()
+        if not n_rows and target is not None:
+            return 0
         _require_unique(staged, keys)
         if target is None:
             replace_table(staged, path, partition_by)
-            return
+            return n_rows
         stays = partitions_follow_key or set(partition_by) <= set(keys)
         if partition_by and (stays or not _moves_rows(target, staged, keys, partition_by)):
-            touched = target.where(_listed(staged, partition_by))
+            touched = target.where(listed(staged, partition_by))
             content = upserted(touched, staged, keys).select(*schema.names)
             replace_partitions(content, path, partition_by)
         else:
             replace_table(upserted(target, staged, keys).select(*schema.names), path, partition_by)
+        return n_rows
     finally:
         discard(spark, staged_path)
 
@@ -155,7 +182,7 @@ def _moves_rows(
     return not matched.where(changed).isEmpty()
 
 
-def _listed(batch: DataFrame, partition_by: Sequence[str]) -> Column:
+def listed(batch: DataFrame, partition_by: Sequence[str]) -> Column:
     """Condition that selects the partitions of the batch.
 
     A partition is named by the JSON of its values, which also tells NULL apart. The list is no

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import clean, has_text, label_class, word_count
+from ..functions.text import clean, has_text, label_class, text_digest, word_count
 from ..operators.dedup import distinct_texts
-from ..operators.merge import read_table, unmatched, upsert
-from ..schemas import BRONZE, SILVER, SILVER_PARTITIONS
+from ..operators.deliveries import new_files, note_files, rows_of, table_files
+from ..operators.merge import append, listed, read_table, upsert
+from ..schemas import BRONZE, SILVER, SILVER_PARTITIONS, SILVER_STORED, TEXT_DIGEST
+from ..session import discard, scratch_path
 
 
 def with_text_columns(df: DataFrame) -> DataFrame:
@@ -36,15 +38,23 @@ def to_silver(bronze: DataFrame, as_of: Column | None = None) -> DataFrame:
     )
 
 
+def known_digests(silver: DataFrame) -> DataFrame:
+    """(source, digest) of all texts of silver; texts are read only where no digest is stored."""
+    stored = silver.where(F.col(TEXT_DIGEST).isNotNull()).select(
+        "source", F.col(TEXT_DIGEST).alias("_digest")
+    )
+    older = silver.where(F.col(TEXT_DIGEST).isNull()).select("source", text_digest(F.col("text")).alias("_digest"))
+    return stored.unionByName(older)
+
+
 def new_texts(bronze: DataFrame, silver: DataFrame) -> DataFrame:
-    """Bronze rows that silver has neither by key nor, in the same source, by text.
+    """Bronze rows with a text that silver does not have in the same source.
 
     Bronze rows never change, and the first row of a text stays its silver row, so the others
-    have nothing to add. Keys and digests are compared, never whole texts.
+    have nothing to add. Digests are compared, never texts.
     """
-    digest = F.unhex(F.sha2("text", 256)).alias("_digest")
-    fresh = unmatched(bronze.where(has_text(F.col("text"))), silver).select("*", digest)
-    known = silver.select("source", digest)
+    fresh = bronze.where(has_text(F.col("text"))).withColumn("_digest", text_digest(F.col("text")))
+    known = known_digests(silver)
     return fresh.join(known, ["source", "_digest"], "left_anti").select(*bronze.columns)
 
 
@@ -57,17 +67,34 @@ def refresh_silver(
 ) -> dict[str, int]:
     """Bring the silver table up to date with the bronze table.
 
-    Only rows that silver does not have are cleaned and written, unless ``full`` asks for all.
-    Returns how many rows went into the de-duplication and how many came out.
+    Only files of bronze that silver has not taken yet are read, and only rows that it does not
+    have are cleaned and appended, unless ``full`` asks for all. Of silver the digests of the same
+    sources are read. A run that was lost before it noted its files takes them again, and finds
+    their texts there. Returns how many rows went into the de-duplication and how many came out.
     """
     bronze = read_table(spark, bronze_path, BRONZE)
     if bronze is None:
         raise FileNotFoundError(bronze_path)
-    silver = None if full else read_table(spark, silver_path, SILVER)
-    if silver is not None:
-        bronze = new_texts(bronze, silver)
-    before, after = Observation(), Observation()
-    n_rows = F.count(F.lit(1)).alias("n")
-    rows = to_silver(bronze.observe(before, n_rows), as_of).observe(after, n_rows)
-    upsert(rows, silver_path, SILVER, partition_by=SILVER_PARTITIONS)
-    return {"rows_before": before.get["n"], "rows_after": after.get["n"]}
+    silver = None if full else read_table(spark, silver_path, SILVER_STORED)
+    if silver is None:
+        files = table_files(bronze)
+        rows = to_silver(bronze, as_of).withColumn(TEXT_DIGEST, text_digest(F.col("text")))
+        after = upsert(rows, silver_path, SILVER_STORED, partition_by=SILVER_PARTITIONS)
+        note_files(spark, silver_path, files, anew=True)
+        return {"rows_before": bronze.count(), "rows_after": after}
+    files = new_files(spark, bronze, silver_path)
+    if not files:
+        return {"rows_before": 0, "rows_after": 0}
+    delivered = rows_of(spark, bronze, bronze_path, BRONZE, files)
+    path = scratch_path(spark, "delivered")
+    try:
+        known = silver.where(listed(delivered, SILVER_PARTITIONS))
+        new_texts(delivered, known).write.parquet(path)
+        fresh = spark.read.schema(BRONZE).parquet(path)
+        before = fresh.count()
+        rows = to_silver(fresh, as_of).withColumn(TEXT_DIGEST, text_digest(F.col("text")))
+        after = append(rows, silver_path, SILVER_STORED, SILVER_PARTITIONS) if before else 0
+    finally:
+        discard(spark, path)
+    note_files(spark, silver_path, files)
+    return {"rows_before": before, "rows_after": after}

@@ -40,6 +40,10 @@ SILVER = _layout(
 )
 SILVER_PARTITIONS = ["source"]
 
+# As it lies in files: with a digest of the text, so that no later run has to read old texts.
+TEXT_DIGEST = "text_digest"
+SILVER_STORED = T.StructType([*SILVER.fields, T.StructField(TEXT_DIGEST, T.BinaryType())])
+
 GOLD = _layout(
     ("id", _STRING),
     ("text_clean", _STRING),

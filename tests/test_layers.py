@@ -107,6 +107,106 @@ def test_refreshes_take_up_new_rows_only_and_count(spark, tmp_path):
     assert {r.id for r in read_table(spark, paths[1], SILVER).collect()} == {"1", "3", "6"}
 
 
+@pytest.fixture
+def grown(spark, tmp_path):
+    """Three layers, and a second delivery that has not been taken up yet."""
+    paths = [str(tmp_path / n) for n in ("bronze", "silver", "gold")]
+
+    def deliver(rows, day):
+        df = spark.createDataFrame(rows, "id string, text string, label string, source string")
+        as_of = F.lit(f"2024-01-0{day}").cast("timestamp")
+        ingest_records([df.withColumn("raw_meta", F.lit("{}"))], paths[0], as_of)
+
+    def refresh():
+        return (
+            refresh_silver(spark, *paths[:2]),
+            refresh_gold(spark, *paths[1:], given.lexicon(spark)),
+        )
+
+    deliver([(str(n), f"Text {n}", "true", "s" if n % 2 else "t/#?") for n in range(20)], 1)
+    refresh()
+    more = [("21", "Text 1", "fake", "s"), ("22", "Text 2", "true", "s"), ("23", "New", "fake", "s")]
+    deliver(more, 2)
+    return paths, refresh
+
+
+def test_a_refresh_reads_no_old_text(spark, grown, plan, monkeypatch):
+    from sedimenta.operators import deliveries
+    from sedimenta.plans import silver
+
+    paths, refresh = grown
+    plans = []
+
+    def noted(bronze, old):
+        found = new_texts(bronze, old)
+        plans.append(plan(found))
+        return found
+
+    new_texts = silver.new_texts
+    monkeypatch.setattr(silver, "new_texts", noted)
+    assert refresh() == ({"rows_before": 2, "rows_after": 2}, {0: 21, 1: 1})
+    [text] = plans
+    scans = [part for part in text.split("\n\n") if "Scan parquet" in part and "Location" in part]
+    bronze = [s for s in scans if "/bronze/" in s]
+    # Of bronze the new file only, of silver the digests of its source, and texts only of rows
+    # that have no digest: there are none, and files say so.
+    assert len(bronze) == 1 and bronze[0].count(".parquet") == 1
+    stored = [s for s in scans if "text_digest" in s and "ReadSchema: struct<text_digest:binary>" in s]
+    assert len(stored) == 1 and "PartitionFilters: [" in stored[0] and "source" in stored[0]
+    older = [s for s in scans if "text:string" in s and "/silver" in s]
+    assert all("IsNull(text_digest)" in s for s in older)
+    # Nothing new: no layer is read at all.
+    monkeypatch.setattr(silver, "new_texts", None)
+    monkeypatch.setattr(deliveries, "rows_of", None)
+    assert refresh() == ({"rows_before": 0, "rows_after": 0}, {0: 21, 1: 1})
+
+
+def test_files_that_were_not_noted_are_taken_again_without_doubles(spark, grown, monkeypatch):
+    from sedimenta.plans import gold, silver
+
+    paths, refresh = grown
+
+    def lost(*_, **__):
+        raise OSError("lost")
+
+    for module in (silver, gold):
+        note = module.note_files
+        monkeypatch.setattr(module, "note_files", lost)
+        with pytest.raises(OSError, match="lost"):
+            refresh()
+        monkeypatch.setattr(module, "note_files", note)
+    assert refresh()[1] == {0: 21, 1: 1}
+    for path, schema, n in ((paths[1], SILVER, 22), (paths[2], GOLD, 22)):
+        table = read_table(spark, path, schema)
+        assert table.count() == table.select("id", "source").distinct().count() == n
+
+
+def test_a_silver_table_without_digests_is_refreshed(spark, grown):
+    from sedimenta.operators.merge import replace_table
+    from sedimenta.schemas import SILVER_PARTITIONS
+
+    paths, refresh = grown
+    replace_table(read_table(spark, paths[1], SILVER), paths[1], SILVER_PARTITIONS)
+    assert refresh() == ({"rows_before": 2, "rows_after": 2}, {0: 21, 1: 1})
+    full = refresh_silver(spark, *paths[:2], full=True)
+    assert full == {"rows_before": 23, "rows_after": 22}
+    assert refresh() == ({"rows_before": 0, "rows_after": 0}, {0: 21, 1: 1})
+
+
+def test_classes_are_counted_once_per_file(spark, grown, monkeypatch):
+    from sedimenta.plans import gold
+
+    paths, refresh = grown
+    assert refresh()[1] == {0: 21, 1: 1}
+    monkeypatch.setattr(gold, "rows_of", None)
+    assert gold.class_counts(spark, paths[2]) == {0: 21, 1: 1}
+    monkeypatch.undo()
+    # Files that are replaced count no more.
+    counts = refresh_gold(spark, *paths[1:], given.lexicon(spark), full=True)
+    assert counts == {0: 21, 1: 1}
+    assert gold.class_counts(spark, paths[2]) == counts
+
+
 def test_schemas(spark):
     silver = to_silver(given.bronze(spark, FOLDER))
     gold = to_gold(silver, given.lexicon(spark))

@@ -211,7 +211,7 @@ def test_failing_batch_leaves_the_table(spark, path):
 def test_only_touched_partitions_are_read(spark, path, plan):
     upsert(rows(spark, *OLD), path, SCHEMA, partition_by=["source", "split"])
     target = read_table(spark, path, SCHEMA)
-    touched = merge._listed(rows(spark, NEW[0]), ["source", "split"])
+    touched = merge.listed(rows(spark, NEW[0]), ["source", "split"])
     filters = plan(target.where(touched)).split("PartitionFilters: [")[1]
     assert filters.startswith("(invoke(StructsToJson")
     assert target.where(touched).count() == 1
