@@ -4,24 +4,15 @@ Pivot distance tables: the distances of a fingerprint to fixed reference fingerp
 coordinates, and two fingerprints whose coordinates differ by more than the radius anywhere cannot
 lie within it. Distances to references spread over all bits are near half the bits for almost
 everyone, so they can discard pairs but not find any. Pairs are brought together by references of
-single bits, whose distances give those bits, under two kinds of keys:
-
-* :class:`Blocks` finds all pairs within the radius: of ``radius + 2`` blocks of bits two are the
-  same for any of them, and fingerprints meet under each pair of blocks.
-* :class:`Samples` is for radii that no exact key can serve: fingerprints meet under chosen bits,
-  many times over, and pairs within the radius are missed with a probability that is known.
-
+single bits, whose distances give those bits: of ``radius + 2`` blocks of bits two are the same for
+any pair within the radius, and fingerprints meet under each pair of blocks (:class:`Blocks`).
 Under a key the wide references discard, and the exact distance decides about the rest.
-
-:func:`alike_components` takes the bits as a filter only: what they bring together is compared by
-its shingles, and only that similarity decides.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
-from functools import partial, reduce
+from dataclasses import dataclass
 from itertools import combinations, repeat
 
 import numpy as np
@@ -63,35 +54,6 @@ class Blocks:
         return np.stack([_numbers(p, i) for i, p in enumerate(pairs)], axis=1)
 
 
-@dataclass(frozen=True)
-class Samples:
-    """``tables`` keys of ``width`` bits each, dealt out of all bits in several shuffled orders.
-
-    A pair that differs in a share ``d`` of its bits is missed with a probability of about
-    ``(1 - (1 - d) ** width) ** tables``: 1 in 20,000 at 15 %, 1 in 40 at 20 %. A key brings
-    ``n / 2 ** width`` strangers together, so much larger corpora need a larger ``width`` and,
-    for the same recall, more ``tables``. The tables are gone through in ``passes``, of which
-    ``turn`` is one, so that only a part of the keys lies on disk at a time.
-    """
-
-    radius: int = 58
-    words: int = 4
-    width: int = 16
-    tables: int = 128
-    passes: int = 4
-    turn: int = 0
-
-    def keys(self, marks: np.ndarray) -> np.ndarray:
-        bits = _bits(marks)
-        generator = np.random.default_rng(self.tables)
-        per_order = bits.shape[1] // self.width
-        orders = [generator.permutation(bits.shape[1]) for _ in range(-(-self.tables // per_order))]
-        chosen = np.concatenate([o[: per_order * self.width] for o in orders])
-        chosen = chosen.reshape(-1, self.width)[: self.tables]
-        mine = range(self.turn, self.tables, self.passes)
-        return np.stack([_numbers(bits[:, chosen[i]], i) for i in mine], axis=1)
-
-
 def _bits(marks: np.ndarray) -> np.ndarray:
     octets = marks.astype(">u8").view(np.uint8).reshape(len(marks), -1)
     return np.unpackbits(octets, axis=1)
@@ -150,12 +112,6 @@ def fingerprint(text: str | None, shingle: int, words: int = 1) -> list[int]:
     return _majority(*_shingle_hashes(text, shingle), words)
 
 
-def shingle_set(text: str | None, shingle: int) -> np.ndarray:
-    """The hashes of the distinct word shingles, in order."""
-    hashes, n = _shingle_hashes(text, shingle)
-    return np.unique(np.fromiter(hashes, np.uint64, n))
-
-
 def _fingerprints(shingle: int, words: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -179,7 +135,7 @@ def fingerprints(docs: DataFrame, key: str, shingle: int, words: int) -> DataFra
     return named.mapInArrow(_fingerprints(shingle, words), schema)
 
 
-def _keyed(search: Blocks | Samples, with_marks: bool, more: list[str] = []):
+def _keyed(search: Blocks, with_marks: bool):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [f"f{w}" for w in range(search.words)]
         for batch in batches:
@@ -189,7 +145,7 @@ def _keyed(search: Blocks | Samples, with_marks: bool, more: list[str] = []):
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel())], ["key"])
                 continue
             row = pa.array(np.repeat(np.arange(len(keys)), keys.shape[1]))
-            columns = ["node", *names, *more]
+            columns = ["node", *names]
             held = [batch[c].take(row) for c in columns]
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), *held], ["key", *columns])
 
@@ -231,60 +187,6 @@ def _near(table: np.ndarray, marks: np.ndarray, a: np.ndarray, b: np.ndarray, ra
     return a[near], b[near]
 
 
-def _shifts(groups: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs of rows of equal groups, by their distance in the order."""
-    rows, shift = np.arange(len(groups)), 0
-    while True:
-        shift += 1
-        rows = rows[rows + shift < len(groups)]
-        rows = rows[groups[rows] == groups[rows + shift]]
-        if not len(rows):
-            return
-        yield rows, rows + shift
-
-
-def _columns_of(rows: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Group, fingerprint, distances to references and label of each row."""
-    change = (rows[1:, :3] != rows[:-1, :3]).any(axis=1)
-    groups = np.concatenate([[0], np.cumsum(change)])
-    marks = np.ascontiguousarray(rows[:, 4:-1]).view(np.uint64)
-    table = np.bitwise_count(marks[:, None, :] ^ PIVOTS[:, None]).sum(axis=2, dtype=np.int16)
-    return groups, marks, table, rows[:, -1]
-
-
-def _pair_batch(rows: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    a, b = rows[a, 3], rows[b, 3]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"]
-    )
-
-
-def _pairs_spanning(rows: np.ndarray, radius: int) -> Iterator[pa.RecordBatch]:
-    """Pairs within the radius that connect whatever such pairs connect, near ones first."""
-    groups, marks, table, _ = _columns_of(rows)
-    root = np.arange(len(rows))
-    for limit in (radius * 3 // 5, radius):
-        for a, b in _shifts(groups):
-            apart = root[a] != root[b]
-            a, b = _near(table, marks, a[apart], b[apart], limit)
-            x, y = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
-            one = np.unique(x * len(rows) + y, return_index=True)[1]
-            a, b = a[one], b[one]
-            if len(a):
-                yield _pair_batch(rows, a, b)
-            _unite(root, a, b)
-
-
-def _pairs_apart(rows: np.ndarray, radius: int) -> Iterator[pa.RecordBatch]:
-    """All pairs within the radius whose labels differ."""
-    groups, marks, table, label = _columns_of(rows)
-    for a, b in _shifts(groups):
-        apart = label[a] != label[b]
-        a, b = _near(table, marks, a[apart], b[apart], radius)
-        if len(a):
-            yield _pair_batch(rows, a, b)
-
-
 def _spanning_links(radius: int):
     """Rows sorted by group in; for each node a link to the first it is connected to."""
 
@@ -323,8 +225,8 @@ def _by_key(found):
     return rows
 
 
-def _met(marks: DataFrame, search: Blocks | Samples, more: list[str]) -> DataFrame:
-    """(key, low, high, node, f0, ..., more) sorted by group, a group being the first three.
+def _met(marks: DataFrame, search: Blocks) -> DataFrame:
+    """(key, low, high, node, f0, ...) sorted by group, a group being the first three.
 
     A key that very many fingerprints share is dealt into tiles, each pair of which is a group of
     its own.
@@ -334,9 +236,9 @@ def _met(marks: DataFrame, search: Blocks | Samples, more: list[str]) -> DataFra
     counted = only.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > TILE)
     crowded = counted.select("key", F.ceil(F.col("n") / TILE).cast("long").alias("tiles"))
     crowded = Step(crowded, "crowded").df
-    held = ["node", *names, *more]
+    held = ["node", *names]
     keyed = marks.select(*held).mapInArrow(
-        _keyed(search, True, more), "key long, " + ", ".join(f"{c} long" for c in held)
+        _keyed(search, True), "key long, " + ", ".join(f"{c} long" for c in held)
     )
     tiles = F.coalesce("tiles", F.lit(1).cast("long"))
     dealt = keyed.join(crowded, "key", "left").withColumns(
@@ -349,35 +251,20 @@ def _met(marks: DataFrame, search: Blocks | Samples, more: list[str]) -> DataFra
         *held,
     )
     group = ["key", "low", "high"]
-    return met.repartition(*group).sortWithinPartitions(*group, *(["node"] if more else []))
+    return met.repartition(*group).sortWithinPartitions(*group)
 
 
-def near_links(marks: DataFrame, search: Blocks | Samples) -> DataFrame:
+def near_links(marks: DataFrame, search: Blocks) -> DataFrame:
     """Links (a, b) that connect the nodes whose fingerprints are found within the radius.
 
     ``marks`` has ``node``, a long, and distinct fingerprints ``f0``, ... Of a group that is
     connected anyway only a spanning set of links comes out, never all pairs.
     """
-    return _met(marks, search, []).mapInArrow(_spanning_links(search.radius), "a long, b long")
-
-
-def near_pairs(marks: DataFrame, search: Samples, spanning: bool) -> DataFrame:
-    """Distinct pairs (a, b) of nodes of different ``label`` found within the radius.
-
-    ``marks`` has ``node`` and ``label``, longs, and ``f0``, ... Either all pairs come out, or so
-    many that each other one is connected over them, near ones before far ones.
-    """
-    found = _pairs_spanning if spanning else _pairs_apart
-    parts = []
-    for turn in range(search.passes):
-        met = _met(marks, replace(search, turn=turn), ["label"])
-        pairs = met.mapInArrow(_by_key(partial(found, radius=search.radius)), "a long, b long")
-        parts.append(Step(pairs.distinct(), "pairs").df)
-    return reduce(DataFrame.unionByName, parts).distinct()
+    return _met(marks, search).mapInArrow(_spanning_links(search.radius), "a long, b long")
 
 
 def near_duplicates(
-    docs: DataFrame, key: str = "doc_id", shingle: int = 4, search: Blocks | Samples = Blocks()
+    docs: DataFrame, key: str = "doc_id", shingle: int = 4, search: Blocks = Blocks()
 ) -> DataFrame:
     """(key, component_id, f0, ...) for each document.
 
@@ -400,109 +287,21 @@ def near_duplicates(
     return step.join(named, names).select(F.col("key").alias(key), "component_id", *names)
 
 
-# Texts are near-duplicates when they share this part of their distinct shingles of five words.
-# Fingerprints of 256 bits over those differ in 38 bits on average at 0.8, in more than the radius
-# (some three deviations above) about once in a thousand pairs.
-SHINGLE, ALIKE_TENTHS = 5, 8
-ALIKE = Samples()
-
-
-def _set_rows(words: int):
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        names = [f"f{w}" for w in range(words)]
-        for batch in batches:
-            sets = [shingle_set(t.as_py(), SHINGLE) for t in batch["text"]]
-            marks = [_majority(iter(x.tolist()), len(x), words) for x in sets]
-            signed = np.array(marks, np.uint64).reshape(-1, words).view(np.int64)
-            digests = np.array([xxhash.xxh64_intdigest(x.tobytes()) for x in sets], np.uint64)
-            columns = [pa.array(np.ascontiguousarray(signed[:, w])) for w in range(words)]
-            yield pa.RecordBatch.from_arrays(
-                [batch["key"], *columns, pa.array(digests.view(np.int64))],
-                ["key", *names, "digest"],
-            )
-
-    return rows
-
-
-def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sets = [shingle_set(t.as_py(), SHINGLE).view(np.int64) for t in batch["text"]]
-        yield pa.RecordBatch.from_arrays(
-            [batch["node"], pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"]
-        )
-
-
-def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that share at least 0.8 of their distinct shingles."""
-    a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
-    b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
-    both = F.size(F.array_intersect("of_a", "of_b"))
-    total = F.size("of_a") + F.size("of_b")
-    return pairs.join(a, "a").join(b, "b").where(
-        (10 + ALIKE_TENTHS) * both >= ALIKE_TENTHS * total
-    ).select("a", "b")
-
-
-def alike_components(nodes: DataFrame, texts: DataFrame, search: Samples = ALIKE) -> DataFrame:
-    """(node, component) of the nodes whose shingles are alike to at least 0.8, over links.
-
-    ``nodes`` has ``node`` and ``f0``, ..., ``texts`` has ``node`` and ``text``. Pairs that the
-    bits bring together are all judged by their shingles, but not one by one where that cannot
-    matter: first as many as connect the others; then, of the nodes for which one of these was
-    no near-duplicate, every pair that is not connected yet.
-    """
-    unlabelled = nodes.withColumn("label", F.col("node"))
-    pairs = Step(near_pairs(unlabelled, search, True), "pairs").df
-    of_pairs = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    asked = texts.join(of_pairs, "node").select("node", "text")
-    sets = Step(asked.mapInArrow(_sets, "node long, shingles array<long>"), "shingles").df
-    good = Step(_alike(pairs, sets), "alike").df
-    found = Step(connected_components(good), "components").df
-    labels = nodes.join(found.withColumnRenamed("component", "label"), "node", "left")
-    labels = labels.withColumn("label", F.coalesce("label", "node"))
-    of = labels.select("node", "label")
-    failed = pairs.join(good, ["a", "b"], "left_anti")
-    ends = failed.join(of.toDF("a", "of_a"), "a").join(of.toDF("b", "of_b"), "b").where("of_a <> of_b")
-    open_ = ends.select(F.col("of_a").alias("label")).union(ends.select("of_b")).distinct()
-    open_ = Step(open_, "open").df
-    if open_.isEmpty():
-        return found
-    apart = Step(labels.join(open_, "label", "left_semi"), "apart").df
-    further = near_pairs(apart, search, False).join(failed, ["a", "b"], "left_anti")
-    more = Step(_alike(further, sets), "alike").df
-    return found if more.isEmpty() else connected_components(good.unionByName(more))
-
-
-def without_near_duplicates(docs: DataFrame) -> DataFrame:
+def without_near_duplicates(
+    docs: DataFrame, shingle: int = 4, search: Blocks = Blocks()
+) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: that of the smallest ``doc_id``.
 
-    Near-duplicates share at least 0.8 of their distinct shingles of five words, as hashes of 64
-    bits; a group is whatever is connected over them. Columns and texts stay as they are. Of
+    Groups are the components of :func:`near_duplicates`. Columns and texts stay as they are. Of
     repeated rows one stays; NULL and empty texts are copies of one another; a NULL ``doc_id``
-    comes before all others. Texts of the same shingles enter the search once.
+    comes before all others.
     """
-    ship_code(docs.sparkSession)
-    columns = docs.columns
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     step = Step(rows.withColumn("place", F.monotonically_increasing_id()), "rows").df
     keyed = step.select(
         F.struct(F.col("row.doc_id").alias("doc_id"), "place").alias("key"),
         F.col("row.text").alias("text"),
     )
-    names = [f"f{w}" for w in range(ALIKE.words)]
-    schema = T.StructType([keyed.schema["key"]])
-    for name in (*names, "digest"):
-        schema = schema.add(name, T.LongType())
-    marks = keyed.mapInArrow(_set_rows(ALIKE.words), schema)
-    distinct = marks.groupBy(*names, "digest").agg(F.min("key").alias("first"))
-    nodes = Step(distinct.withColumn("node", F.monotonically_increasing_id()), "nodes").df
-    place = nodes.select("node", F.col("first.place").alias("place"))
-    texts = step.select("place", F.col("row.text").alias("text")).join(place, "place")
-    found = alike_components(nodes.drop("first", "digest"), texts)
-    rooted = nodes.join(found, "node", "left").withColumn(
-        "component", F.coalesce("component", "node")
-    )
-    kept = rooted.groupBy("component").agg(F.min("first").alias("first"))
-    return step.join(kept.select(F.col("first.place").alias("place")), "place", "left_semi").select("row.*")
+    found = near_duplicates(keyed, "key", shingle, search)
+    kept = found.where(F.col("key") == F.col("component_id")).select(F.col("key.place").alias("place"))
+    return step.join(kept, "place", "left_semi").select("row.*")

@@ -109,18 +109,20 @@ def test_connected_components(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-def test_near_duplicates(spark, monkeypatch):
-    """Also with keys so crowded that they are dealt into tiles."""
+def mark(text):
+    """The fingerprint of a text, bit by bit."""
     import xxhash
 
-    def mark(text):
-        found = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-        if not found:
-            return 0
-        shingles = [" ".join(found[i : i + 4]) for i in range(max(1, len(found) - 3))]
-        hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
-        return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    found = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not found:
+        return 0
+    shingles = [" ".join(found[i : i + 4]) for i in range(max(1, len(found) - 3))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
+
+def test_near_duplicates(spark, monkeypatch):
+    """Also with keys so crowded that they are dealt into tiles."""
     df = odd_documents(spark)
     many = [(100 + n, words(30, 50) + " " + words(300, 60) + f" tail{n}") for n in range(40)]
     df = df.select("doc_id", "text").unionByName(spark.createDataFrame(many, "doc_id long, text string"))
@@ -154,47 +156,27 @@ def test_one_of_each_group_stays(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 4, 5, 7]
 
 
-def edited(base: list[str], share: float, seed: int) -> str:
-    """``base`` with words replaced until its shingles of five are alike to just ``share``."""
-    rng, text = random.Random(seed), list(base)
-    places, whole = rng.sample(range(len(base)), len(base)), shingles(" ".join(base))
-
-    def alike(words_):
-        other = shingles(" ".join(words_))
-        return len(whole & other) / len(whole | other)
-
-    for i in places:
-        tried = [*text[:i], f"new{seed}-{i}", *text[i + 1 :]]
-        if alike(tried) >= share:
-            text = tried
-    return " ".join(text)
-
-
-def shingles(text: str) -> set[tuple[str, ...]]:
-    found = text.split()
-    return {tuple(found[i : i + 5]) for i in range(max(1, len(found) - 4))}
-
-
-def test_shingles_decide_about_near_duplicates(spark):
-    """Pairs alike to 0.80, 0.82 and 0.85 go, pairs alike to less stay."""
-    rows, seed = [], 1_000
-    for share in (0.80, 0.82, 0.85, 0.70, 0.75):
-        for size in range(100, 400, 20):
-            base = words(size, seed).split()
-            rows += [(2 * seed, " ".join(base)), (2 * seed + 1, edited(base, share, seed))]
-            seed += 1
-    texts = [shingles(t) for _, t in rows]
-    links = [
-        (i, j) for i in range(len(rows)) for j in range(i)
-        if 10 * len(texts[i] & texts[j]) >= 8 * len(texts[i] | texts[j])
-    ]
-    roots = plain_components(len(rows), links)
-    first: dict[int, int] = {}
-    for (doc, _), root in zip(rows, roots):
-        first[root] = min(doc, first.get(root, doc))
+def test_one_of_each_component_stays(spark, monkeypatch):
+    """Many copies with more and more edits: the bits decide, and the smallest id stays."""
+    monkeypatch.setattr(simhash, "TILE", 8)
+    rng, rows = random.Random(5), []
+    for group in range(4):
+        base = words(300, 700 + group).split()
+        for n in range(40):
+            text = list(base)
+            for at in rng.sample(range(300), n // 4):
+                text[at] = f"new{n}"
+            rows.append((1_000 * group + (n * 7) % 40, " ".join(text)))
+    rows += [(9_000, None), (9_001, " "), (None, rows[0][1]), rows[1]]
+    marks = [mark(t) for _, t in rows]
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if (marks[i] ^ marks[j]).bit_count() <= 4]
+    first: dict = {}
+    for (doc, _), root in zip(rows, plain_components(len(rows), links)):
+        first[root] = min((doc is not None, doc or 0), first.get(root, (True, 1 << 40)))
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    kept = sorted(r.doc_id for r in simhash.without_near_duplicates(df).collect())
-    assert kept == sorted(first.values())
+    kept = simhash.without_near_duplicates(df).collect()
+    assert sorted((r.doc_id is not None, r.doc_id or 0) for r in kept) == sorted(first.values())
+    assert 4 < len(kept) < len(rows) * 2 / 3
 
 
 # --- benchmark items ----------------------------------------------------------------
