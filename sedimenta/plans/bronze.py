@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..operators.merge import insert_new
 from ..operators.ranking import cap_per_term
-from ..schemas import BRONZE, BRONZE_PARTITIONS
+from ..schemas import BRONZE, BRONZE_PARTITIONS, QUARANTINE, QUARANTINE_KEYS
+from ..session import discard, scratch_path
 from ..sources.posts import broken_lines, post_records, read_landed, whole_lines
 from ..sources.records import stamped, union_records
 
@@ -30,18 +31,31 @@ def ingest_landed(
     as_of: Column | None = None,
     quarantine: str | None = None,
 ) -> None:
-    """Insert the posts of landed lines; broken lines are counted and go to ``quarantine``."""
-    broken = broken_lines(landed)
-    # Spark reads broken lines only together with another column.
-    n_broken = broken.agg(F.count("line"), F.max("uri")).head()[0]
-    if n_broken:
-        log.warning("%d landed lines are no JSON", n_broken)
-        if quarantine is not None:
-            broken.write.mode("append").parquet(quarantine)
-    posts = whole_lines(landed)
-    if limit is not None:
-        posts = cap_per_term(posts, limit)
-    ingest_records([post_records(posts)], path, as_of)
+    """Insert the posts of landed lines; broken lines are counted and go to ``quarantine``.
+
+    The lines are parsed once, into the scratch folder. Both tables take only what they do not
+    have: a batch that is tried again adds nothing twice. In the quarantine a line stands once per
+    file, with the ``times`` it occurs there.
+    """
+    spark = landed.sparkSession
+    staged_path = scratch_path(spark, "landed")
+    try:
+        landed.write.parquet(staged_path)
+        staged = spark.read.schema(landed.schema).parquet(staged_path)
+        broken = broken_lines(staged).groupBy("file", "line").agg(
+            F.min("uri").alias("uri"), F.count("*").alias("times")
+        )
+        n_broken = broken.agg(F.sum("times")).head()[0]
+        if n_broken:
+            log.warning("%d landed lines are no JSON", n_broken)
+            if quarantine is not None:
+                insert_new(broken, quarantine, QUARANTINE, QUARANTINE_KEYS)
+        posts = whole_lines(staged)
+        if limit is not None:
+            posts = cap_per_term(posts, limit)
+        ingest_records([post_records(posts)], path, as_of)
+    finally:
+        discard(spark, staged_path)
 
 
 def ingest_posts(

@@ -77,4 +77,8 @@ POSTS = _layout(
     ("query", _STRING),
 )
 
+# Landed lines that are no JSON, with what could be read of the uri.
+QUARANTINE = _layout(("file", _STRING), ("uri", _STRING), ("line", _STRING), ("times", _LONG))
+QUARANTINE_KEYS = ["file", "line"]
+
 LEXICON = _layout(("word", _STRING), ("polarity", _DOUBLE), ("kind", _STRING))

@@ -191,6 +191,49 @@ def test_broken_lines_are_counted_and_kept(spark, tmp_path, caplog):
     assert sorted(r.line for r in spark.read.parquet(quarantine).collect()) == sorted(broken)
 
 
+def test_a_batch_that_is_tried_again_adds_nothing_twice(spark, tmp_path, monkeypatch):
+    """The insert is lost after the quarantine was written; the stream tries the batch again."""
+    from sedimenta.plans import bronze
+
+    broken = ["not a post {", "not a post {", '{"uri": "at://9", "cid": "x", "rec']
+    path = land(tmp_path / "in", POSTS, extra=broken)
+    table, quarantine, marks = (str(tmp_path / n) for n in ("bronze", "quarantine", "marks"))
+
+    def run():
+        stream_posts(spark, path, table, marks, quarantine=quarantine).awaitTermination()
+
+    def lost(*_, **__):
+        raise OSError("lost")
+
+    ingest = bronze.ingest_records
+    monkeypatch.setattr(bronze, "ingest_records", lost)
+    with pytest.raises(Exception, match="lost"):
+        run()
+    assert read_table(spark, table, BRONZE) is None
+    monkeypatch.setattr(bronze, "ingest_records", ingest)
+    for _ in range(2):
+        run()
+        assert read_table(spark, table, BRONZE).count() == 3
+        rows = spark.read.parquet(quarantine).collect()
+        assert sorted((r.line, r.times) for r in rows) == sorted([(broken[0], 2), (broken[2], 1)])
+    # Without the marks of the stream all is read again.
+    stream_posts(spark, path, table, str(tmp_path / "new"), quarantine=quarantine).awaitTermination()
+    assert spark.read.parquet(quarantine).count() == 2
+
+
+def test_lines_are_parsed_once(spark, tmp_path, monkeypatch):
+    from sedimenta.plans import bronze
+
+    path, scans = land(tmp_path / "in", POSTS, extra=["not a post {"]), []
+    insert = bronze.insert_new
+    monkeypatch.setattr(bronze, "insert_new", lambda df, *a, **k: (
+        scans.append(df._jdf.queryExecution().executedPlan().toString()), insert(df, *a, **k)
+    )[1])
+    ingest_posts(spark, path, str(tmp_path / "bronze"), quarantine=str(tmp_path / "quarantine"))
+    assert len(scans) == 2 and not any("json" in s.lower().split("filescan ")[-1][:20] for s in scans)
+    assert all("FileScan parquet" in s for s in scans)
+
+
 def test_all_posts_are_taken_unless_limited(spark, tmp_path):
     many = [{"uri": f"at://{n}", "query": "news", "indexed_at": str(n)} for n in range(500)]
     path = land(tmp_path / "in", many)
