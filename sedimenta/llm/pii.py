@@ -11,6 +11,7 @@ the share of what ``e`` tells that ``t`` tells already: 1 if ``t`` occurs with `
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -81,26 +82,88 @@ def _matches(text: Column, pattern: Column, needs: str | None) -> Column:
     return found if needs is None else F.when(F.contains(text, F.lit(needs)), found)
 
 
+# Elements of an array that are added up at once, and code points of a block of text.
+STRETCH, BLOCK = 256, 4_096
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _running(values: Column, combine: Callable[[Column, Column], Column], levels: int = 2) -> Column:
+    """Running totals of an array of bigints, none of them NULL.
+
+    Totals grow within stretches only, and what comes before a stretch is added to its totals
+    afterwards, so a long array is not copied for each of its elements.
+    """
+
+    def grown(part: Column) -> Column:
+        first = F.slice(part, 1, 1)
+        rest = F.slice(part, 2, F.greatest(F.size(part) - 1, F.lit(0)))
+        return F.aggregate(
+            rest, first, lambda done, x: F.array_append(done, combine(F.element_at(done, -1), x))
+        )
+
+    def joined(parts: Column) -> Column:
+        ends = F.transform(parts, lambda p: F.element_at(p, -1))
+        before = _running(ends, combine, levels - 1) if levels else grown(ends)
+        return _once(
+            before,
+            lambda sums: F.flatten(
+                F.transform(
+                    parts,
+                    lambda p, i: F.when(i == 0, p).otherwise(
+                        F.transform(p, lambda x: combine(F.get(sums, i - 1), x))
+                    ),
+                )
+            ),
+        )
+
+    def cut(array: Column) -> Column:
+        last = F.floor((F.size(array) - 1) / STRETCH).cast("int")
+        starts = F.sequence(F.lit(0), last)
+        return F.transform(starts, lambda i: grown(F.slice(array, i * STRETCH + 1, STRETCH)))
+
+    return _once(
+        values,
+        lambda array: F.when(F.size(array) > STRETCH, _once(cut(array), joined)).otherwise(
+            grown(array)
+        ),
+    )
+
+
 def _placed(text: Column, pattern: Column, matches: Column) -> Column:
     """Matches with their places, from the lengths of the pieces between them."""
-    pieces = F.zip_with(
-        F.transform(F.split(text, pattern, -1), F.char_length), matches,
-        lambda gap, match: F.struct(gap.alias("gap"), match.alias("match")),
+    gaps = F.transform(F.split(text, pattern, -1), F.char_length)
+    lengths = F.zip_with(
+        F.slice(gaps, 1, F.size(matches)), matches,
+        lambda gap, match: (gap + F.char_length(match)).cast("bigint"),
+    )
+    stops = _running(lengths, lambda a, b: a + b)
+    spans = F.zip_with(
+        stops, matches,
+        lambda stop, match: F.struct(
+            (stop - F.char_length(match)).alias("start"), stop.alias("stop"), match.alias("match")
+        ),
+    )
+    return F.when(F.size(matches) > 0, spans).otherwise(F.array().cast(SPAN))
+
+
+def _blocks(text: Column) -> Column:
+    """A text in blocks, of which parts are taken without going through the whole of it."""
+    last = F.floor(F.char_length(text) / BLOCK).cast("int")
+    return F.transform(
+        F.sequence(F.lit(0), last), lambda i: F.substring(text, i * BLOCK + 1, F.lit(BLOCK))
     )
 
-    def grown(state: Column, piece: Column) -> Column:
-        start = state["at"] + piece["gap"]
-        stop = start + F.char_length(piece["match"])
-        span = F.struct(start.alias("start"), stop.alias("stop"), piece["match"].alias("match"))
-        return F.struct(
-            stop.alias("at"), F.array_append(state["spans"], span).alias("spans")
-        )
 
-    none = F.array().cast(SPAN)
-    first = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("spans"))
-    known = F.filter(pieces, lambda p: p["match"].isNotNull())
-    spans = F.aggregate(known, first, grown)["spans"]
-    return F.when(F.size(matches) > 0, spans).otherwise(none)
+def _part(blocks: Column, start: Column, stop: Column) -> Column:
+    """Code points ``start`` to ``stop`` of a text in blocks."""
+    first = F.floor(start / BLOCK).cast("int")
+    n = F.floor(stop / BLOCK).cast("int") - first + 1
+    held = F.array_join(F.slice(blocks, first + 1, n), "")
+    return F.substring(held, (start - first * BLOCK + 1).cast("int"), (stop - start).cast("int"))
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
@@ -147,14 +210,29 @@ def _words(text: Column) -> Column:
     return F.array_distinct(F.filter(words, lambda w: w.rlike(r"^\p{L}{3,}$")))
 
 
-def _near(text: Column, span: Column, reach: int) -> Column:
-    """Words that begin or end within ``reach`` words of the span."""
-    before = F.split(F.rtrim(F.substring(text, F.lit(1), span["start"].cast("int"))), r"\s+")
-    after = F.split(
-        F.ltrim(F.substring(text, span["stop"].cast("int") + 1, F.char_length(text))), r"\s+"
-    )
-    tail = F.slice(before, F.greatest(F.size(before) - reach + 1, F.lit(1)), reach)
-    return _words(F.array_join(F.concat(tail, F.slice(after, 1, reach)), " "))
+def _near(text: Column, blocks: Column, span: Column, reach: int) -> Column:
+    """Words that begin or end within ``reach`` words of the span.
+
+    A block on each side is enough, unless it holds fewer words than that.
+    """
+    size = F.char_length(text)
+
+    def around(first: Column, last: Column) -> tuple[Column, Column]:
+        before = F.split(F.rtrim(_part(blocks, first, span["start"])), r"\s+")
+        after = F.split(F.ltrim(_part(blocks, span["stop"], last)), r"\s+")
+        return before, after
+
+    def ends(before: Column, after: Column) -> Column:
+        tail = F.slice(before, F.greatest(F.size(before) - reach + 1, F.lit(1)), reach)
+        return F.array_join(F.concat(tail, F.slice(after, 1, reach)), " ")
+
+    first = F.greatest(span["start"] - BLOCK, F.lit(0))
+    last = F.least(span["stop"] + BLOCK, size.cast("bigint"))
+    before, after = around(first, last)
+    # The outermost word of what was taken may be cut.
+    enough = ((first == 0) | (F.size(before) > reach)) & ((last == size) | (F.size(after) > reach))
+    whole = around(F.lit(0).cast("bigint"), size.cast("bigint"))
+    return _words(F.when(enough, ends(before, after)).otherwise(ends(*whole)))
 
 
 def telling_words(found: DataFrame, docs: DataFrame, limits: Disclosure) -> DataFrame:
@@ -163,10 +241,20 @@ def telling_words(found: DataFrame, docs: DataFrame, limits: Disclosure) -> Data
     ``found`` holds the documents with identifiers: ``key``, ``text`` and ``base``, their spans.
     Counts of words and documents cover all of ``docs``, copies included.
     """
-    met = found.select("key", "text", F.explode("base").alias("span")).select(
-        "key", F.xxhash64("text").alias("digest"), _entity(F.col("span")).alias("entity"),
-        F.explode(_near(F.col("text"), F.col("span"), limits.reach)).alias("term"),
-    )
+    def beside(blocks: Column) -> Column:
+        """The words near each span; rows leave a document without its text."""
+        return F.transform(
+            "base",
+            lambda s: F.struct(
+                _entity(s).alias("entity"),
+                _near(F.col("text"), blocks, s, limits.reach).alias("terms"),
+            ),
+        )
+
+    met = found.select(
+        "key", F.xxhash64("text").alias("digest"),
+        F.explode(_once(_blocks(F.col("text")), beside)).alias("met"),
+    ).select("key", "digest", "met.entity", F.explode("met.terms").alias("term"))
     met = met.groupBy("entity", "term", "digest", "key").agg(F.count("*").alias("n"))
     pairs = met.groupBy("entity", "term", "digest").agg(F.count("*").alias("n"))
     pairs = pairs.groupBy("entity", "term").agg(
@@ -255,7 +343,6 @@ def find_personal_data(docs: DataFrame, limits: Disclosure = Disclosure()) -> Da
 
 def _disjoint(spans: Column) -> Column:
     """Spans by start, those that overlap joined under the kind that starts first."""
-    kind = "array<struct<start:bigint,stop:bigint,kind:string>>"
     ordered = F.array_sort(
         F.transform(
             spans,
@@ -264,18 +351,30 @@ def _disjoint(spans: Column) -> Column:
         )
     )
 
-    def joined(done: Column, s: Column) -> Column:
-        last = F.element_at(done, -1)
-        wider = F.struct(
-            last["start"].alias("start"), F.greatest(last["stop"], s["stop"]).alias("stop"),
-            last["kind"].alias("kind"),
+    def joined(spans: Column) -> Column:
+        return _once(
+            _running(F.transform(spans, lambda s: s["stop"]), lambda a, b: F.greatest(a, b)),
+            lambda stops: _once(firsts(spans, stops), lambda at: groups(spans, stops, at)),
         )
-        overlaps = (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["stop"] > s["start"])
-        return F.when(
-            overlaps, F.array_append(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), wider)
-        ).otherwise(F.array_append(done, s))
 
-    return F.aggregate(ordered, F.array().cast(kind), joined)
+    def firsts(spans: Column, stops: Column) -> Column:
+        """Places of the spans that begin where all before them have ended."""
+        places = F.sequence(F.lit(0), F.size(spans) - 1)
+        return F.filter(places, lambda i: (i == 0) | (F.get(spans, i)["start"] >= F.get(stops, i - 1)))
+
+    def groups(spans: Column, stops: Column, at: Column) -> Column:
+        def group(i: Column, n: Column) -> Column:
+            last = F.coalesce(F.get(at, n + 1), F.size(spans)) - 1
+            first = F.get(spans, i)
+            return F.struct(
+                first["start"].alias("start"), F.get(stops, last).alias("stop"),
+                first["kind"].alias("kind"),
+            )
+
+        return F.transform(at, group)
+
+    none = F.array().cast("array<struct<start:bigint,stop:bigint,kind:string>>")
+    return _once(ordered, lambda v: F.when(F.size(v) > 0, joined(v)).otherwise(none))
 
 
 def sanitised(docs: DataFrame, limits: Disclosure = Disclosure()) -> DataFrame:
@@ -290,18 +389,22 @@ def sanitised(docs: DataFrame, limits: Disclosure = Disclosure()) -> DataFrame:
     found = found.withColumn("spans", spans)
     text = F.col("row")["text"]
 
-    def piece(s: Column, i: Column) -> Column:
-        before = F.when(i > 0, F.try_element_at(F.col("spans"), i)["stop"]).otherwise(F.lit(0))
-        gap = F.substring(text, (before + 1).cast("int"), (s["start"] - before).cast("int"))
+    def changed(blocks: Column, spans: Column) -> Column:
+        last = F.element_at(spans, -1)["stop"]
+        rest = F.substring(text, (last + 1).cast("int"), F.char_length(text))
+        pieces = F.transform(spans, lambda s, i: piece(blocks, spans, s, i))
+        return F.concat(F.array_join(pieces, ""), rest)
+
+    def piece(blocks: Column, spans: Column, s: Column, i: Column) -> Column:
+        before = F.when(i > 0, F.get(spans, i - 1)["stop"]).otherwise(F.lit(0))
+        gap = _part(blocks, before, s["start"])
         label = F.when(s["kind"] == "removed", "").otherwise(
             F.concat(F.lit("<"), s["kind"], F.lit(">"))
         )
         return F.concat(gap, label)
 
-    last = F.try_element_at(F.col("spans"), F.lit(-1))["stop"]
-    rest = F.substring(text, (last + 1).cast("int"), F.char_length(text))
-    changed = F.concat(F.array_join(F.transform("spans", piece), ""), rest)
-    new = F.when(F.size("spans") > 0, changed).otherwise(text)
+    made = _once(_blocks(text), lambda b: _once(F.col("spans"), lambda v: changed(b, v)))
+    new = F.when(F.size("spans") > 0, made).otherwise(text)
     return found.select(
         *[
             (new if c == "text" else F.col("row")[c]).alias(c)

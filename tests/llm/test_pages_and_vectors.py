@@ -256,3 +256,34 @@ def test_odd_labels(spark, labelled):
     only = fit_chain(docs, odd, ["a", "b"], ChainSettings(sample=2)).score(docs)
     assert {(r.p_a, r.p_b) for r in only.collect()} == {(1.0, 1.0)}
     assert toxicity(no_documents(spark), none.selectExpr("doc_id", "a AS quality", "b AS toxic")).count() == 0
+
+
+def test_places_of_very_many_matches(spark, monkeypatch):
+    """Texts with more matches than are added up at once, and with many spans to replace."""
+    from sedimenta.llm import pii
+
+    monkeypatch.setattr(pii, "STRETCH", 4)
+    monkeypatch.setattr(pii, "BLOCK", 16)
+    texts = [
+        "12 ab " * n + "".join(f"é{i} a{i}@b.co +1 234 567 89{i % 10} " for i in range(n))
+        for n in (0, 1, 3, 4, 5, 17, 70)
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.find_personal_data(df).collect():
+        text = r.row.text
+        mails = [(m.start(), m.end(), m[0]) for m in re.finditer(r"a\d+@b\.co", text)]
+        phones = [(m.start(), m.end(), m[0]) for m in re.finditer(r"\+1 234 567 89\d", text)]
+        found = {k: [(s.start, s.stop, s.match) for s in r.base if s.kind == k] for k in pii.KINDS}
+        assert (found["email"], found["phone"]) == (mails, phones)
+    for r in pii.sanitised(df).collect():
+        expected = re.sub(r"a\d+@b\.co", "<email>", texts[r.doc_id])
+        assert r.text == re.sub(r"\+1 234 567 89\d", "<phone>", expected)
+
+
+def test_a_text_with_a_hundred_thousand_matches(spark):
+    from sedimenta.llm import pii
+
+    text = "12 ab " * 100_000 + "me@you.com " * 3_000
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert pii.find_personal_data(df).select(F.size("base")).head()[0] == 3_000
+    assert pii.sanitised(df).head().text == text.replace("me@you.com", "<email>")
