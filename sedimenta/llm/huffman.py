@@ -237,19 +237,16 @@ def _unpacked(table):
                 stops = np.cumsum(lengths)
                 ids = decode_block(row["payload"], row["checkpoints"], int(stops[-1]), lookup)
                 octets = ids.astype("<u4").tobytes()
-                n = len(lengths)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([row["part"]] * n, pa.int32()),
-                        pa.array([row["block"]] * n, pa.int32()),
-                        pa.array(stops - lengths),
                         pa.array(row["doc_ids"], pa.int64()),
+                        pa.array(row["first"] + stops - lengths),
                         pa.array(
                             [octets[4 * (b - k) : 4 * b] for b, k in zip(stops.tolist(), row["lengths"])],
                             pa.binary(),
                         ),
                     ],
-                    ["part", "block", "before", "doc_id", "ids"],
+                    ["doc_id", "start", "ids"],
                 )
 
     return documents
@@ -279,9 +276,6 @@ def read_token_file(spark: SparkSession, path: str) -> DataFrame:
         (F.col("first") + F.coalesce(F.sum("n").over(inside), F.lit(0))).alias("first"),
     )
     table = spark.sparkContext.broadcast(lengths)
-    found = blocks.mapInArrow(
-        _unpacked(table), "part int, block int, before long, doc_id long, ids binary"
-    )
-    return found.join(F.broadcast(starts), ["part", "block"]).select(
-        "doc_id", (F.col("first") + F.col("before")).alias("start"), "ids"
-    )
+    # Blocks, not their ids, meet their starts, should those be too many for one message.
+    begun = blocks.join(starts, ["part", "block"]).select(*blocks.columns, "first")
+    return begun.mapInArrow(_unpacked(table), "doc_id long, start long, ids binary")

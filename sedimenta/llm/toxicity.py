@@ -11,6 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.model import without_summary
 from .common import Step, empty_if_null
 
 
@@ -137,7 +138,7 @@ def _fit(
     learner = LogisticRegression(
         labelCol=category, maxIter=settings.iterations, regParam=settings.penalty
     )
-    return learner.fit(_assembled(known, earlier))
+    return without_summary(df.sparkSession, learner.fit(_assembled(known, earlier)))
 
 
 def fit_chain(
@@ -181,8 +182,13 @@ REJECT = 0.5
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the documents that the chain calls toxic; all columns stay."""
-    return toxicity(docs, labels).where(~F.col("is_toxic")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` without the documents that the chain calls toxic.
+
+    All columns stay as they are, also those that are named like a result of the chain.
+    """
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    judged = toxicity(docs.select(whole, "doc_id", "text"), labels)
+    return judged.where(~F.col("is_toxic")).select("row.*")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

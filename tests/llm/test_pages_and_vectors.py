@@ -287,3 +287,22 @@ def test_a_text_with_a_hundred_thousand_matches(spark):
     df = spark.createDataFrame([(1, text)], "doc_id long, text string")
     assert pii.find_personal_data(df).select(F.size("base")).head()[0] == 3_000
     assert pii.sanitised(df).head().text == text.replace("me@you.com", "<email>")
+
+
+def test_columns_named_like_results_stay_as_they_are(spark):
+    """In a session that has observed a metric, too."""
+    from pyspark.sql import Observation
+
+    seen = Observation()
+    spark.range(3).observe(seen, F.count("*").alias("n")).write.format("noop").mode("overwrite").save()
+    assert seen.get["n"] == 3
+    rows = [(n, words(40, n) + (" foul vile" if n % 5 == 0 else ""), "mine", 7.5) for n in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, is_toxic string, p_toxic double")
+    labels = spark.createDataFrame(
+        [(n, int(n % 7 > 0), int(n % 5 == 0)) for n in range(150)], "doc_id long, quality int, toxic int"
+    )
+    kept = without_toxic(docs, labels)
+    assert kept.dtypes == docs.dtypes
+    found = kept.collect()
+    assert {(r.is_toxic, r.p_toxic) for r in found} == {("mine", 7.5)}
+    assert {r.doc_id for r in found} == {n for n in range(200) if n % 5}
