@@ -33,6 +33,10 @@ LEAST_OUTSIDE, LEAST_INSIDE, SHARE_INSIDE = 2, 3, 0.5
 # A block goes if this share of its names is repeated.
 COVERED = 0.8
 
+# A page is a copy of others, and keeps all its blocks, if less than one part in so many would be
+# left of it. Outside of marked articles a host's text can well be most of a page.
+PARTS_MARKED, PARTS_OUTSIDE = 2, 10
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption dd details dialog div dl dt fieldset figcaption"
@@ -268,6 +272,11 @@ def repeated_names(parsed: DataFrame) -> DataFrame:
     is not, and that only marked articles have, can be no boilerplate anywhere and is left out.
     """
     site = F.xxhash64("host").alias("site")
+    # Copies of a page say nothing about what its host repeats: one of them counts.
+    marks = parsed.select("page", F.struct("host", *[F.xxhash64(F.lit(n), "blocks") for n in (0, 1)]).alias("mark"))
+    first = marks.groupBy("mark").agg(F.count("*").alias("n"), F.min("page").alias("first"))
+    later = marks.join(first.where("n > 1"), "mark").where(F.col("page") != F.col("first"))
+    parsed = parsed.join(later.select("page"), "page", "left_anti")
     named = parsed.select("host", "blocks", "marked", site).mapInArrow(
         _names_of_pages, "site long, marked boolean, name long"
     )
@@ -290,9 +299,9 @@ def main_text(pages: DataFrame) -> DataFrame:
     from the elements marked as article, else as main, else from the whole page, without menus,
     headers, footers, asides, forms, scripts, hidden elements and those whose class, id or role
     says advert, notice, comment or the like. Character references are decoded, white space in a
-    block is one space. Where repeated blocks make up most of a marked article, the page is a
-    copy, and nothing goes. A NULL page is empty; pages without a host count as one host's;
-    repeated rows count as pages of their own.
+    block is one space. Where repeated blocks make up most of a marked article, or nearly all of
+    another page, the page is a copy, and nothing goes. A NULL page is empty; pages without a host
+    count as one host's; pages of a host with the same blocks count as one.
 
     Pages are parsed once and kept as blocks in the scratch folder. Names of runs are counted by
     host in a shuffle that combines them first; a host of any size spreads over all tasks.
@@ -323,7 +332,8 @@ def main_text(pages: DataFrame) -> DataFrame:
     )
     left = F.filter("blocks", lambda _, i: ~F.array_contains("gone", i.cast("long")))
     size = F.char_length(F.array_join("blocks", ""))
-    copied = F.col("marked") & (2 * F.char_length(F.array_join(left, "")) < size)
+    parts = F.when(F.col("marked"), PARTS_MARKED).otherwise(PARTS_OUTSIDE)
+    copied = parts * F.char_length(F.array_join(left, "")) < size
     return whole.select(
         "row",
         F.array_join(F.when(copied, F.col("blocks")).otherwise(left), "\n\n").alias("text"),

@@ -306,3 +306,25 @@ def test_columns_named_like_results_stay_as_they_are(spark):
     found = kept.collect()
     assert {(r.is_toxic, r.p_toxic) for r in found} == {("mine", 7.5)}
     assert {r.doc_id for r in found} == {n for n in range(200) if n % 5}
+
+
+def test_copies_of_a_page_without_a_marked_article_keep_their_text(spark):
+    """Also with NULL urls, and next to a page that marks the same text as its article."""
+    def page(*texts):
+        return "<html><body>" + "".join(f"<p>{t}</p>" for t in texts) + "</body></html>"
+
+    text, other, notice = words(60, 31), words(50, 32), words(30, 33)
+    rows = [
+        (1, "http://a.example/x", page(text)), (2, "http://a.example/y", page(text)),
+        (3, None, page(other)), (4, None, page(other)),
+        (5, "http://b.example/1", page(text)),
+        (6, "http://b.example/2", f"<html><body><article><p>{text}</p></article></body></html>"),
+    ]
+    # What different pages share goes all the same.
+    own = {n: words(40, 300 + n) for n in range(10, 16)}
+    rows += [(n, "http://c.example/p", page(own[n], notice)) for n in own]
+    found = {r.row.page_id: r.text for r in main_text(
+        spark.createDataFrame(rows, "page_id long, url string, html string")
+    ).collect()}
+    assert [found[n] for n in range(1, 7)] == [text, text, other, other, text, text]
+    assert {n: found[n] for n in own} == own
