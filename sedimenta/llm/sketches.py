@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,7 +41,7 @@ class Sketches:
 
     words: int = 2
     percent: int = 80
-    kept: int = 128
+    kept: int = 64
     listed: int = 32
     slack: float = 6.0
     short: int = 24
@@ -209,6 +209,12 @@ def inverted(classes: DataFrame, settings: Sketches) -> DataFrame:
     return classes.select("doc_id", "n", octets).mapInArrow(listed, layout)
 
 
+def _listed_of(n: Column, settings: Sketches) -> Column:
+    """In how many lists a set of ``n`` shingles stands."""
+    shared = F.floor(n * (100 - settings.percent) / 100) + 1
+    return F.least(shared, F.lit(settings.listed))
+
+
 def _near_sizes(a: str, b: str, settings: Sketches):
     least, most = F.least(F.col(a), F.col(b)), F.greatest(F.col(a), F.col(b))
     return 100 * least >= settings.percent * most
@@ -263,15 +269,12 @@ def long_list_links(
     are fewer than members.
     """
     long = open_lists.where(F.col("size") > settings.short)
-    in_short = lists.groupBy("id").agg(F.count("*").alias("listed"))
     in_long = lists.join(
         lists.groupBy("value").agg(F.count("*").alias("size")).where(F.col("size") > settings.short),
         "value",
-    ).groupBy("id").agg(F.count("*").alias("hot"))
-    few = in_short.join(in_long, "id").where(F.col("listed") - F.col("hot") < settings.enough)
-    members = long.join(few.select("id"), "id").select("value", "id", "n", "part", "place")
-    from pyspark.sql import Window
-
+    ).groupBy("id", "n").agg(F.count("*").alias("hot"))
+    few = in_long.where(_listed_of(F.col("n"), settings) - F.col("hot") < settings.enough)
+    members = long.join(few.select("id").distinct(), "id").select("value", "id", "n", "part", "place")
     nth = F.row_number().over(Window.partitionBy("id").orderBy("place"))
     members = members.withColumn("_nth", nth).where(F.col("_nth") <= settings.hot_listed)
     held = Step(members.drop("_nth", "place"), "long-lists")
@@ -376,18 +379,24 @@ def sketch_duplicates(docs: DataFrame, settings: Sketches = Sketches()) -> DataF
     first = named.where(F.col("doc_id") == F.col("first")).select("doc_id").distinct()
     narrow = known.withColumn("members", F.substring("members", 1, 8 * settings.kept))
     heads = Step(narrow.select("doc_id", "n", "members").join(first, "doc_id", "left_semi"), "heads")
-    lists = Step(inverted(heads.df, settings), "lists").df
-    shared = lists.groupBy("value").agg(F.count("*").alias("_n")).where("_n > 1").select("value")
-    open_lists = Step(lists.join(shared, "value", "left_semi"), "shared").df
+    all_lists = inverted(heads.df, settings)
+    shared = all_lists.groupBy("value").agg(F.count("*").alias("_n")).where("_n > 1").select("value")
+    # What stands in a list alone has no candidates there.
+    lists = Step(all_lists.join(shared, "value", "left_semi"), "lists").df
 
-    edges = None
+    edges, open_lists = None, None
     for turn in range(settings.rounds):
-        found = linked(pivot_pairs(open_lists, turn, settings), heads.df, known, settings)
+        met = open_lists.df if open_lists else lists
+        found = linked(pivot_pairs(met, turn, settings), heads.df, known, settings)
         edges = found if edges is None else edges.unionByName(found)
-        with_parts = Step(_part_of(lists, edges), f"parts-{turn}").df
-        open_lists = Step(_open(with_parts), f"open-{turn}").df
-    edges = edges.unionByName(linked(short_list_pairs(open_lists, settings), heads.df, known, settings))
-    edges = edges.unionByName(long_list_links(lists, open_lists, known, settings))
+        if open_lists:
+            open_lists.drop()
+        open_lists = Step(_open(_part_of(lists, edges)), f"open-{turn}")
+    found = linked(short_list_pairs(open_lists.df, settings), heads.df, known, settings)
+    heads.drop()
+    long = long_list_links(lists, open_lists.df, known, settings)
+    edges = edges.unionByName(found).unionByName(long)
+    open_lists.drop()
 
     copies = named.where(F.col("doc_id") != F.col("first"))
     edges = edges.unionByName(copies.select(F.col("first").alias("a"), F.col("doc_id").alias("b")))
