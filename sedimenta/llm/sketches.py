@@ -274,12 +274,17 @@ def long_list_links(
         "value",
     ).groupBy("id", "n").agg(F.count("*").alias("hot"))
     few = in_long.where(_listed_of(F.col("n"), settings) - F.col("hot") < settings.enough)
-    members = long.join(few.select("id").distinct(), "id").select("value", "id", "n", "part", "place")
+    members = long.join(few.select("id").distinct(), "id").select(
+        "value", "size", "id", "n", "part", "place"
+    )
     nth = F.row_number().over(Window.partitionBy("id").orderBy("place"))
     members = members.withColumn("_nth", nth).where(F.col("_nth") <= settings.hot_listed)
     held = Step(members.drop("_nth", "place"), "long-lists")
-    # A list's members by size in steps of an eighth: near sizes are at most two steps apart.
-    band = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / settings.percent))).cast("long")
+    # A list that is one tile is compared as a whole. Of others, members are put in bands of sizes
+    # so wide that partners are in the same band or the next.
+    step = F.log(F.lit(100 / settings.percent))
+    band = F.floor(F.log(F.col("n").cast("double")) / step).cast("long")
+    band = F.when(F.col("size") > settings.tile, band).otherwise(F.lit(0).cast("long"))
     rows = held.df.withColumn("band", band)
     counts = rows.groupBy("value", "band").agg(F.count("*").alias("in_band"))
     rows = rows.join(counts, ["value", "band"])
