@@ -178,6 +178,99 @@ def test_text_that_a_host_repeats_goes(spark):
     assert main_text(df.limit(0)).count() == 0
 
 
+def test_names_of_elements_within_an_article():
+    """Words of layout make a weak hint one, other words do not."""
+    parts = {"share-price": True, "related-work": True, "search": True, "social-history": True,
+             "share-buttons": False, "related posts": False, "notice": False, "top-banner": False,
+             "user-comments": False}
+    for name, stays in parts.items():
+        blocks, _ = text_blocks(f"<article><p>Text<div class='{name}'>Part</div></article>")
+        assert blocks == (["Text", "Part"] if stays else ["Text"]), name
+    assert text_blocks("<div class='search'>Find</div><p>Text")[0] == ["Text"]
+
+
+def test_notice_before_unique_text(spark):
+    rows = [
+        (100 * size + n, f"http://a{size}.org/", f"<p>{words(size, 5)}</p><p>{words(60, 100 + n)}</p>")
+        for size in (1, 6, 15, 16, 20, 40) for n in range(12)
+    ]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.row.page_id: (r.text, r.n_removed) for r in main_text(df).collect()} == {
+        n: (words(60, 100 + n % 100), 1) for n, *_ in rows
+    }
+
+
+def plain_main_text(pages):
+    """Texts by (host, html), run by run over all pages of a host."""
+    def runs(blocks):
+        stream = [t for b in blocks for t in b.split()]
+        long = {tuple(stream[i : i + 16]) for i in range(len(stream) - 15)}
+        return long | {b for b in blocks if len(b.split()) < 16}
+
+    parsed = {(host, html): text_blocks(html) for host, html in pages}
+    found = {}
+    for (host, html), (blocks, marked) in parsed.items():
+        contents = {}
+        for (h, _), (b, m) in parsed.items():
+            if h == host:
+                contents.setdefault(tuple(b), []).append(m)
+        sets = {b: runs(b) for b in contents}
+        most = max(3, -(-len(sets) // 2))
+
+        def goes(run):
+            holders = [b for b in sets if run in sets[b]]
+            few = not marked and len(holders) >= 2 and not isinstance(run, str)
+            return few or len(holders) >= most
+
+        gone = {run for run in runs(blocks) if goes(run)}
+        stream = [(t, n) for n, b in enumerate(blocks) for t in b.split()]
+        covered = set()
+        for i in range(len(stream) - 15):
+            if tuple(t for t, _ in stream[i : i + 16]) in gone:
+                covered |= set(range(i, i + 16))
+        left = []
+        for n, b in enumerate(blocks):
+            places = [i for i, (_, k) in enumerate(stream) if k == n]
+            share = len(covered.intersection(places)) / len(places)
+            if share < 0.8 and b not in gone:
+                left.append(b)
+        parts = 2 if marked else 10
+        if parts * len(" ".join(left).split()) < len(stream):
+            left = blocks
+        found[host, html] = "\n\n".join(left)
+    return found
+
+
+def test_main_text_against_brute_force(spark):
+    """Marked and unmarked pages, notices of all sizes, parts of them, copies, repeated rows."""
+    rng = random.Random(8)
+    notices = [words(n, 500 + n) for n in (1, 3, 9, 15, 16, 17, 24, 40)]
+    pages = []
+    for n in range(300):
+        blocks = []
+        for _ in range(rng.randrange(6)):
+            notice = rng.choice(notices).split()
+            at = rng.choice([0, 0, 0, rng.randrange(len(notice))])
+            own = words(rng.choice([0, 0, 2, 12, 50]), rng.randrange(300))
+            blocks.append(rng.choice([f"{own} {' '.join(notice[at:])}", f"{' '.join(notice[at:])} {own}", own]))
+        html = "".join(f"<p>{b}</p>" for b in blocks)
+        host = rng.choice(["a.org", "a.org", "b.org", ""])
+        pages.append((host, f"<article>{html}</article>" if rng.random() < 0.4 else html))
+    pages += rng.sample(pages, 20)
+    pages += [("c.org", f"<p>{words(9_000, 3)}</p>"), ("c.org", f"<p>{words(9_000, 3)} more</p>"),
+              ("", None), ("c.org", "")]
+    rows = [(n, f"http://{h}/x" if h else None, html, h, "mine", n) for n, (h, html) in enumerate(pages)]
+    df = spark.createDataFrame(
+        rows, "page int, url string, html string, host string, names string, kept int"
+    )
+    found = main_text(df).collect()
+    expected = plain_main_text(pages)
+    assert len(found) == len(pages) and found[0].row.names == "mine"
+    assert sum(r.n_removed > 0 for r in found) > 30
+    for r in found:
+        assert r.text == expected[pages[r.row.page]], pages[r.row.page]
+
+
 # --- vectors ------------------------------------------------------------------------
 
 
