@@ -43,15 +43,16 @@ def row_index(
 ) -> DataFrame:
     """0-based index of each row in its group, by ``order``, which must be unique in a group.
 
-    The table is range-sorted by group and order, so a group of any size spreads over many
-    tasks, and written once to the scratch folder; the index follows from the place in the
-    written files.
+    Only these columns are range-sorted, so a group of any size spreads over many tasks, and
+    written to the scratch folder; the index follows from the place in the written files, and all
+    rows get theirs in a join on the columns, which has no hot keys. Rows that are equal in them
+    are numbered in any order.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "sorted")
     keys = [*by, *order]
-    df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.parquet(path)
-    written = spark.read.schema(df.schema).parquet(path).select(
+    df.select(*keys).repartitionByRange(*keys).sortWithinPartitions(*keys).write.parquet(path)
+    written = spark.read.schema(df.select(*keys).schema).parquet(path).select(
         "*",
         F.col("_metadata.file_name").alias("_name"),
         F.col("_metadata.row_index").alias("_position"),
@@ -59,7 +60,16 @@ def row_index(
     # Files are numbered by range; the number is not zero-padded beyond five digits.
     number = F.regexp_extract("_name", r"^part-(\d+)", 1).cast("long")
     file_order = F.struct(number.alias("number"), F.col("_name").alias("name"))
-    return file_row_index(written, by, file_order, "_position", name).drop("_name", "_position")
+    indexed = file_row_index(written, by, file_order, "_position", name)
+    if set(df.columns) == set(keys):
+        return indexed.drop("_name", "_position")
+    # One struct as key, because NULLs have to meet as well.
+    key = F.struct(*keys).alias("_key")
+    firsts = indexed.groupBy(key).agg(F.min(name).alias("_first"))
+    nth = F.row_number().over(Window.partitionBy("_key").orderBy(*order)) - 1
+    rows = df.withColumn("_key", key).withColumn("_nth", nth)
+    found = rows.join(firsts, "_key").withColumn(name, F.col("_first") + F.col("_nth"))
+    return found.drop("_key", "_first", "_nth")
 
 
 def top_per_group(

@@ -60,6 +60,25 @@ def test_row_index_with_null_groups(spark, threshold):
     }
 
 
+def test_row_index_writes_keys_only(spark, threshold, tmp_path, monkeypatch):
+    """Wide columns stay out of the scratch folder; rows with equal keys are numbered all the same."""
+    path = tmp_path / "sorted"
+    paths = iter([str(path), str(tmp_path / "empty")])
+    monkeypatch.setattr("sedimenta.operators.ranking.scratch_path", lambda *_: next(paths))
+    given = [("a", 1, "x"), ("a", 1, "x"), ("a", 1, "y"), ("a", 0, None), (None, None, "n"), ("b", 5, "z")]
+    df = spark.createDataFrame(given, "g string, o int, text string")
+    indexed = row_index(df, ["g"], ["o"])
+    assert spark.read.parquet(str(path)).columns == ["g", "o"]
+    assert indexed.columns == ["g", "o", "text", "row_index"]
+    found = indexed.collect()
+    assert sorted(map(str, (r[:3] for r in found))) == sorted(map(str, given))
+    assert sorted(r.row_index for r in found if r.g == "a") == [0, 1, 2, 3]
+    assert {(r.g, r.o, r.row_index) for r in found if (r.g, r.o) != ("a", 1)} == {
+        ("a", 0, 0), (None, None, 0), ("b", 5, 0)
+    }
+    assert row_index(df.limit(0), ["g"], ["o"], "other").count() == 0
+
+
 def test_top_per_group(spark, plan):
     given = rows(4000, 1)
     df = spark.createDataFrame(given, "g string, o long, v string").repartition(8)
