@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from multiprocessing.pool import ThreadPool
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import IDF, CountVectorizer, SQLTransformer, VectorAssembler
+from pyspark.ml.feature import (
+    CountVectorizer,
+    ElementwiseProduct,
+    SQLTransformer,
+    VectorAssembler,
+    VectorSizeHint,
+)
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +35,43 @@ RATIO_COLUMNS = [
 ]
 
 
+class TermWeights(Estimator):
+    """Counts of terms and their inverse document frequencies, both from one pass over the rows.
+
+    How many rows hold a bucket says which buckets are kept and also what each of them weighs.
+    Only these counts, one for each bucket, come to the driver.
+    """
+
+    def __init__(self, n_features: int, min_docs: int) -> None:
+        super().__init__()
+        self.n_features, self.min_docs = n_features, min_docs
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        bucket = F.transform("tokens", lambda word: F.pmod(F.xxhash64(word), F.lit(self.n_features)))
+        # A place without a bucket counts the rows themselves.
+        places = F.array_append(F.array_distinct(bucket), F.lit(None).cast("long"))
+        counts = dataset.select(F.explode(places).alias("bucket")).groupBy("bucket").count()
+        n_docs = {row.bucket: row["count"] for row in counts.collect()}
+        n_rows = n_docs.pop(None, 0)
+        kept = [(str(b),) for b, n in n_docs.items() if n >= self.min_docs]
+        if not kept:
+            raise ValueError(f"no term occurs in {self.min_docs} training rows")
+        listed = dataset.sparkSession.createDataFrame(kept, "bucket string")
+        vectorizer = CountVectorizer(
+            inputCol="buckets", outputCol="term_counts", vocabSize=len(kept)
+        ).fit(listed.select(F.array("bucket").alias("buckets")))
+        weights = [math.log((n_rows + 1) / (n_docs[int(b)] + 1)) for b in vectorizer.vocabulary]
+        return PipelineModel(
+            stages=[
+                vectorizer,
+                ElementwiseProduct(
+                    scalingVec=Vectors.dense(weights), inputCol="term_counts", outputCol="terms"
+                ),
+                VectorSizeHint(inputCol="terms", size=len(weights), handleInvalid="optimistic"),
+            ]
+        )
+
+
 def feature_stages(
     n_features: int = 1 << 18,
     max_tokens: int | None = None,
@@ -53,11 +98,7 @@ def feature_stages(
         SQLTransformer(
             statement=f"SELECT *, transform(tokens, word -> {bucket}) AS buckets FROM __THIS__"
         ),
-        CountVectorizer(
-            inputCol="buckets", outputCol="term_counts", vocabSize=n_features,
-            minDF=float(min_docs),
-        ),
-        IDF(inputCol="term_counts", outputCol="terms"),
+        TermWeights(n_features, min_docs),
         VectorAssembler(inputCols=["terms", *extra], outputCol="features"),
     ]
     return Pipeline(stages=stages)

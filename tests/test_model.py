@@ -176,3 +176,34 @@ def test_terms_are_hashed_as_finely_as_the_library_does():
     given = HashingTF().getNumFeatures()
     assert inspect.signature(train_classifier).parameters["n_features"].default == given
     assert inspect.signature(feature_stages).parameters["n_features"].default == given
+
+
+def test_terms_are_counted_and_weighed_in_one_pass(spark):
+    """Each row is computed once, and the weights are those of the library."""
+    from pyspark.ml.feature import IDF
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        seen.add(1)
+        return text
+
+    texts = [("a b",), ("a c a",), ("b a a",), ("d a",)]
+    df = spark.createDataFrame(texts, "text string").coalesce(1)
+    fitted = feature_stages(1 << 18, min_docs=1).fit(df.select(counted("text").alias("text_clean")))
+    assert seen.value == len(texts)
+    rows = fitted.transform(df.withColumnRenamed("text", "text_clean"))
+    library = IDF(inputCol="term_counts", outputCol="expected").fit(rows).transform(rows)
+    for r in library.collect():
+        assert r.features.toArray() == pytest.approx(r.expected.toArray())
+
+
+def test_vectors_are_looked_into_as_stored(spark, plan):
+    """No vector is made dense, of rows that are dense in the file neither."""
+    from checks.queries import QUERIES
+
+    found = QUERIES["token_features"](spark, "/root/testdata/sf0.001")
+    text = plan(found)
+    assert "UDF" not in text and "indices" in text
+    assert found.where("weighted AND n_terms = n_tokens").count() == found.count() > 0
