@@ -13,6 +13,7 @@ import json
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from .joins import require_unique
 
 # Word lists up to this size become part of the expression; the scores are the same beyond.
@@ -109,9 +110,13 @@ def _joined_score(df: DataFrame, words: DataFrame, text: Column) -> DataFrame:
     """Scores by joining each word with the list, and the mean back to all rows of the text.
 
     Copies of a text add the same pairs again, which leaves their mean as it is. A frequent word
-    is a hot key of the join, which adaptive execution splits.
+    is a hot key of the join, which adaptive execution splits. The list is written to the scratch
+    folder, so that Spark knows its size and sends one that is small enough to the words.
     """
     columns = df.columns
+    path = scratch_path(df.sparkSession, "words")
+    words.write.parquet(path)
+    words = df.sparkSession.read.schema(words.schema).parquet(path)
     df = df.withColumn("_digest", F.unhex(F.sha2(text, 256)))
     shifted = F.concat(F.array(F.lit("")), "_words")
     pairs = df.select(

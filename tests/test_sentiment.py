@@ -122,3 +122,11 @@ def test_credibility_tables(spark):
         assert found == {"a": 0.25, "b": 0.5, None: 0.5}
     with pytest.raises(RepeatedKey, match="source"):
         with_credibility(df, table.unionByName(table))
+
+
+def test_words_stay_where_they_are_when_the_list_is_small_enough_to_send(spark, plan):
+    """A list that is joined is sent to the words if Spark finds it small; only means are shuffled."""
+    df = spark.createDataFrame([("1", "a good thing")], "id string, text_clean string")
+    text = plan(with_sentiment(df, spark.createDataFrame(WORDS, LEXICON), max_inline_words=0))
+    assert not any("word" in line for line in text.splitlines() if "hashpartitioning" in line)
+    assert "SortMergeJoin Inner" not in text
