@@ -16,13 +16,19 @@ SPREAD = 64
 
 
 def file_row_index(
-    df: DataFrame, by: Sequence[str], file_order: Column, position: str, name: str
+    df: DataFrame,
+    by: Sequence[str],
+    file_order: Column,
+    position: str,
+    name: str,
+    counts_path: str | None = None,
 ) -> DataFrame:
     """0-based index of each row in its group, over files read in ``file_order``.
 
     ``position`` is the row's place in its file. The rows of one group must lie next to each
     other in a file, as they do when a file holds one group or is sorted by it. Only counts
-    per file and group are shuffled.
+    per file and group are shuffled. With ``counts_path`` they are written there, so that Spark
+    knows how few they are and leaves wide rows where they are.
     """
     # One struct as key, because rows of a NULL group have to find their counts as well.
     placed = df.withColumn("_place", F.struct(*by, file_order.alias("_file")))
@@ -34,6 +40,9 @@ def file_row_index(
     shifts = spans.select(
         "_place", (F.coalesce(earlier, F.lit(0)) - F.col("_first")).alias("_shift")
     )
+    if counts_path is not None:
+        shifts.write.parquet(counts_path)
+        shifts = df.sparkSession.read.schema(shifts.schema).parquet(counts_path)
     indexed = placed.join(shifts, "_place")
     return indexed.withColumn(name, F.col(position) + F.col("_shift")).drop("_place", "_shift")
 

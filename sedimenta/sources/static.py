@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from ..constants import HEADLINE_SOURCE, STATEMENT_SOURCE
 from ..functions.records import column_or, first_present, name_at
 from ..operators.ranking import file_row_index, row_index
+from ..session import scratch_path
 from .records import raw_records, union_records
 
 
@@ -44,7 +45,9 @@ def read_indexed_splits(spark: SparkSession, paths: dict[str, str]) -> DataFrame
         for split, path in paths.items()
     ]
     rows = union_records(parts)
-    indexed = file_row_index(rows, ["split"], F.col("_path"), "_position", "row_index")
+    indexed = file_row_index(
+        rows, ["split"], F.col("_path"), "_position", "row_index", scratch_path(spark, "counts")
+    )
     return indexed.drop("_path", "_position")
 
 

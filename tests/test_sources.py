@@ -287,3 +287,26 @@ def test_stream(spark, tmp_path):
     # A stream without its marks starts over and still adds nothing.
     stream_posts(spark, path, table, str(tmp_path / "new marks")).awaitTermination()
     assert read_table(spark, table, BRONZE).count() == 4
+
+
+def test_rows_stay_where_they_are_when_files_number_them(spark, tmp_path, plan):
+    """Only counts per file meet the rows, by a broadcast; no row goes to the task of its file."""
+    path = str(tmp_path / "headlines")
+    spark.range(0, 3000, 1, 4).selectExpr("id", "repeat('x', 50) AS title").write.parquet(path)
+    from sedimenta.sources.static import read_indexed_splits
+
+    indexed = read_indexed_splits(spark, {"all": path})
+    text = plan(indexed)
+    assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
+    assert sorted(r.row_index for r in indexed.collect()) == list(range(3000))
+
+
+def test_headline_files_grow_in_number(spark, plan, monkeypatch):
+    """As many files as there are shuffle partitions, so that no task reads a fifth of all rows."""
+    from checks.queries import QUERIES
+
+    monkeypatch.setattr("checks.queries.scratch_path", lambda *_: path)
+    path = f"{spark.conf.get('spark.checkpoint.dir')}/headline-files"
+    found = QUERIES["ingest_headline_files"](spark, "/root/testdata/sf0.01")
+    assert found.count() == 1000
+    assert len(spark.read.parquet(path).inputFiles()) == 8
