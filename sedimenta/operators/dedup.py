@@ -10,6 +10,7 @@ from pyspark.sql import Window
 
 from ..constants import KEYS
 from ..functions.text import text_digest
+from ..session import scratch_path
 
 
 def first_of_group(
@@ -33,6 +34,27 @@ def distinct_texts(df: DataFrame) -> DataFrame:
     return first_of_group(df, [text_digest(F.col("text")), "source"], ["ingested_at", "id"])
 
 
+def distinct_texts_in_place(df: DataFrame) -> DataFrame:
+    """What :func:`distinct_texts` keeps, without a shuffle of the rows whose text occurs once.
+
+    Digests that occur twice in a source are counted first and written to the scratch folder; they
+    go to the rows if they are few.
+    """
+    spark = df.sparkSession
+    # One struct as key, because NULLs have to meet as well.
+    key = F.struct(text_digest(F.col("text")).alias("digest"), "source").alias("_key")
+    counts = df.select(key).groupBy("_key").agg(F.count(F.lit(1)).alias("_times"))
+    path = scratch_path(spark, "copies")
+    counts.where("_times > 1").select("_key").write.parquet(path)
+    copied = spark.read.schema(counts.select("_key").schema).parquet(path)
+    if copied.isEmpty():
+        return df
+    keyed = df.withColumn("_key", key)
+    once = keyed.join(copied, "_key", "left_anti").select(*df.columns)
+    several = keyed.join(copied, "_key", "left_semi").select(*df.columns)
+    return once.unionByName(distinct_texts(several))
+
+
 def unique_keys(
     df: DataFrame, keys: Sequence[str] = KEYS, order: Sequence[Column | str] | None = None
 ) -> DataFrame:

@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import clean, has_text, label_class, text_digest, word_count
-from ..operators.dedup import distinct_texts
+from ..operators.dedup import distinct_texts, distinct_texts_in_place
 from ..operators.deliveries import new_files, note_files, rows_of, table_files
-from ..operators.merge import append, listed, read_table, upsert
+from ..operators.merge import append, brought_together, listed, read_table, upsert
 from ..schemas import BRONZE, SILVER, SILVER_PARTITIONS, SILVER_STORED, TEXT_DIGEST
 from ..session import discard, scratch_path
 
@@ -28,7 +28,10 @@ def to_silver(bronze: DataFrame, as_of: Column | None = None) -> DataFrame:
     Texts are compared as they came, before cleaning. Blank ones go first: text is part of the
     group, so the groups that remain are the same.
     """
-    rows = distinct_texts(bronze.where(has_text(F.col("text"))))
+    return _as_silver(distinct_texts(bronze.where(has_text(F.col("text")))), as_of)
+
+
+def _as_silver(rows: DataFrame, as_of: Column | None) -> DataFrame:
     now = F.current_timestamp() if as_of is None else as_of
     return (
         with_text_columns(rows)
@@ -38,6 +41,17 @@ def to_silver(bronze: DataFrame, as_of: Column | None = None) -> DataFrame:
     )
 
 
+def to_silver_table(
+    bronze: DataFrame, as_of: Column | None = None, together: bool = True
+) -> DataFrame:
+    """The rows of :func:`to_silver`, those of a partition brought together unless told not to.
+
+    Raw rows go through no other shuffle; cleaned texts are made after it.
+    """
+    rows = distinct_texts_in_place(bronze.where(has_text(F.col("text"))))
+    return _as_silver(brought_together(rows, SILVER_PARTITIONS) if together else rows, as_of)
+
+
 def known_digests(silver: DataFrame) -> DataFrame:
     """(source, digest) of all texts of silver; texts are read only where no digest is stored."""
     stored = silver.where(F.col(TEXT_DIGEST).isNotNull()).select(
@@ -78,8 +92,10 @@ def refresh_silver(
     silver = None if full else read_table(spark, silver_path, SILVER_STORED)
     if silver is None:
         files = table_files(bronze)
-        rows = to_silver(bronze, as_of).withColumn(TEXT_DIGEST, text_digest(F.col("text")))
-        after = upsert(rows, silver_path, SILVER_STORED, partition_by=SILVER_PARTITIONS)
+        rows = to_silver_table(bronze, as_of).withColumn(TEXT_DIGEST, text_digest(F.col("text")))
+        after = upsert(
+            rows, silver_path, SILVER_STORED, partition_by=SILVER_PARTITIONS, together=True
+        )
         note_files(spark, silver_path, files, anew=True)
         return {"rows_before": bronze.count(), "rows_after": after}
     files = new_files(spark, bronze, silver_path)

@@ -84,3 +84,13 @@ def test_unique_keys(spark):
     assert found(unique_keys(df, order=["ingested_at"])) == sorted(
         [rows[0], *rows[2:]], key=str
     )
+
+
+def test_texts_that_occur_once_are_not_shuffled(spark, plan):
+    from sedimenta.operators.dedup import distinct_texts_in_place
+
+    rows = random_rows(3000, 1)
+    df = spark.createDataFrame(rows, COLUMNS).repartition(16)
+    assert found(distinct_texts_in_place(df)) == expected(rows)
+    alone = spark.createDataFrame([("1", "x", "a", 0), ("2", None, "a", 0)], COLUMNS)
+    assert "Exchange" not in plan(distinct_texts_in_place(alone))

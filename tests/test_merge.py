@@ -230,3 +230,34 @@ def test_hot_partition_is_written_by_many_tasks(spark, path, tmp_path):
     files = [f for f in (tmp_path / "table" / "source=hot").iterdir() if f.suffix == ".parquet"]
     assert len(files) > 4
     assert read_table(spark, path, SCHEMA).count() == 60_000
+
+
+def test_an_insert_without_news_computes_keys_only(spark, path):
+    """No text of a batch is looked at whose keys are all there; of two copies one goes in."""
+    from sedimenta.operators.merge import insert_new
+
+    assert insert_new(rows(spark, *OLD, OLD[0]), path, SCHEMA, partition_by=["source"]) == len(OLD)
+    looked = rows(spark, *OLD).withColumn("text", merge.F.raise_error(merge.F.lit("looked at")))
+    assert insert_new(looked, path, SCHEMA, partition_by=["source"]) == 0
+    assert content(spark, path) == sorted(OLD)
+
+
+@pytest.mark.parametrize("partition_by", [[], ["source"]])
+def test_a_first_upsert_writes_its_rows_once(spark, path, monkeypatch, partition_by):
+    monkeypatch.setattr(merge, "scratch_path", lambda *_: pytest.fail("written twice"))
+    assert upsert(rows(spark, *OLD), path, SCHEMA, partition_by=partition_by) == len(OLD)
+    assert content(spark, path) == sorted(OLD)
+
+
+def test_tables_are_compressed_well(spark, path):
+    write_table(rows(spark, *OLD), path)
+    assert all(f.endswith(".zstd.parquet") for f in read_table(spark, path, SCHEMA).inputFiles())
+
+
+def test_a_merge_takes_one_exchange(spark, path, plan):
+    from sedimenta.operators.merge import merged
+
+    keys = ["id", "source"]
+    found = merged(rows(spark, *OLD), rows(spark, *NEW), keys, ["source"])
+    assert plan(found).split("\n\n\n")[0].count("Exchange") == 1
+    assert sorted(tuple(r) for r in found.collect()) == UPSERTED
