@@ -111,7 +111,7 @@ def insert_new(
     only the partitions of the batch are read. A batch without new rows writes nothing, and
     does not create a table.
 
-    The keys alone say which rows are new, and are looked at first; of the rows only those go
+    The keys say which rows are new, and alone are shuffled first; of the rows only those go
     through a shuffle that are written, or whose key occurs twice. The batch is computed once for
     its keys and once for its rows.
     """
@@ -121,15 +121,18 @@ def insert_new(
     # One struct as key, because NULLs have to meet as well.
     key = F.struct(*keys).alias("_key")
     try:
-        counts = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_times"))
+        # The hash has every column computed, so that a source that fails fails the insert.
+        counts = batch.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("_times"), F.max(F.xxhash64(*schema.names)).alias("_seen")
+        )
         if target is not None:
             if partition_by:
                 target = target.where(listed(batch, partition_by))
             counts = counts.join(target.select(*keys, F.lit(True).alias("_known")), list(keys), "left")
-            counts = counts.groupBy(*keys, "_times").agg(F.max("_known").alias("_known"))
+            counts = counts.groupBy(*keys, "_times", "_seen").agg(F.max("_known").alias("_known"))
         else:
             counts = counts.withColumn("_known", F.lit(None).cast("boolean"))
-        counts.select(key, "_times", "_known").write.option("compression", COMPRESSION).parquet(staged_path)
+        counts.select(key, "_times", "_seen", "_known").write.option("compression", COMPRESSION).parquet(staged_path)
         staged = spark.read.parquet(staged_path)
         new, known = staged.where("_known IS NULL"), staged.where("_known")
         n_rows, n_repeated = new.agg(F.count("*"), F.count_if(F.col("_times") > 1)).head()

@@ -232,14 +232,17 @@ def test_hot_partition_is_written_by_many_tasks(spark, path, tmp_path):
     assert read_table(spark, path, SCHEMA).count() == 60_000
 
 
-def test_an_insert_without_news_computes_keys_only(spark, path):
-    """No text of a batch is looked at whose keys are all there; of two copies one goes in."""
+def test_an_insert_without_news_shuffles_no_rows(spark, path, monkeypatch):
+    """No row is told from its copies by a shuffle if its key is there; a failing source still fails."""
     from sedimenta.operators.merge import insert_new
 
     assert insert_new(rows(spark, *OLD, OLD[0]), path, SCHEMA, partition_by=["source"]) == len(OLD)
-    looked = rows(spark, *OLD).withColumn("text", merge.F.raise_error(merge.F.lit("looked at")))
-    assert insert_new(looked, path, SCHEMA, partition_by=["source"]) == 0
+    monkeypatch.setattr(merge, "unique_keys", lambda *_: pytest.fail("shuffled"))
+    assert insert_new(rows(spark, *OLD), path, SCHEMA, partition_by=["source"]) == 0
     assert content(spark, path) == sorted(OLD)
+    broken = rows(spark, *OLD).withColumn("text", merge.F.raise_error(merge.F.lit("source down")))
+    with pytest.raises(Exception, match="source down"):
+        insert_new(broken, path, SCHEMA, partition_by=["source"])
 
 
 @pytest.mark.parametrize("partition_by", [[], ["source"]])
