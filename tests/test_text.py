@@ -72,6 +72,21 @@ def test_word_count_is_what_splitting_gives(spark):
     assert cleaned.where(word_count(F.col("c")) != split).count() == 0
 
 
+def test_single_spaces_are_not_replaced(spark):
+    """Only runs that change are matched, and folding gives what folding every run gives."""
+    from sedimenta.constants import SPACE_PATTERN
+    from sedimenta.functions.text import FOLDED_SPACE
+
+    gaps = [" ", "  ", "\t", "\n", " \r\n", "\x0b ", "\f\f", "\u00a0", "\u2003 ", " \x1c ", ""]
+    made = [a + "x" + b + "\u00e9" + c for a in gaps for b in gaps for c in gaps]
+    df = column(spark, made)
+    folded = [F.regexp_replace("v", p, " ") for p in (SPACE_PATTERN, FOLDED_SPACE)]
+    assert df.where(folded[0] != folded[1]).count() == 0
+    # How often the pattern that cleaning uses matches.
+    (pattern,) = column(spark, ["a b c d"]).select(F.regexp_count("v", F.lit(FOLDED_SPACE))).head()
+    assert pattern == 0
+
+
 def test_exclamation_ratio(spark):
     df = column(spark, ["a!b!", "", "none", None])
     assert results(df, exclamation_ratio(F.col("v"), F.length("v"))) == [0.5, 0.0, 0.0, 0.0]
