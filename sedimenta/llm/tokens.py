@@ -12,13 +12,15 @@ import re
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
+
 # Pieces that are remembered; a full memory is emptied.
 REMEMBERED = 1_500_000
 
 # Characters of texts that are cut at once.
-CUT_AT_ONCE = 4_000_000
+CUT_AT_ONCE = 8_000_000
 
-_RUN_OF_SPACE = re.compile(r"\s\s|\0")
+_RUN_OF_SPACE = re.compile(r"\s\s")
 # A comma or dot that comes after something else than a letter or digit, or before another sign.
 _RUN_OF_SIGNS = re.compile(r"[.,](?:(?<![^\W_][.,])|(?=[^\w\s]|_))")
 
@@ -49,48 +51,64 @@ class Encoder:
         self.known: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch(texts, add_special_tokens=False)
+        # Where in a text its ids come from is not asked for.
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [array(self.code, e.ids).tobytes() for e in found]
 
-    def _pieces(self, text: str) -> list[str]:
+    def _marked(self, text: str) -> str:
+        """The text with a mark wherever it is cut; without any if it is not."""
+        if "\0" in text:
+            return ""
         if _RUN_OF_SPACE.search(text):
-            return [text]
+            return text
         if not _RUN_OF_SIGNS.search(text):
             text = text.replace(",", "\0,").replace(".", "\0.")
         if self.keeps_space:
-            return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-        return text.replace(" ", "\0").replace("\n", "\0").split("\0")
+            return text.replace(" ", "\0 ").replace("\n", "\0\n\0")
+        return text.replace(" ", "\0").replace("\n", "\0")
+
+    def _remembered(self, pieces: list[str]) -> list[bytes]:
+        """The ids of different pieces."""
+        found = list(map(self.known.get, pieces))
+        unknown = [p for p, ids in zip(pieces, found, strict=True) if ids is None]
+        if not unknown:
+            return found
+        if len(self.known) + len(unknown) > REMEMBERED:
+            self.known.clear()
+            unknown = pieces
+        self.known.update(zip(unknown, self._ids(unknown), strict=True))
+        return list(map(self.known.__getitem__, pieces))
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        """The ids of each text, as bytes of :attr:`dtype`."""
+        """The ids of each text, as bytes of :attr:`dtype`.
+
+        Arrow cuts the texts, tells which pieces are different, and puts their ids together.
+        """
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
         start = 0
         while start < len(texts):
             stop, size = start, 0
             while stop < len(texts) and (size == 0 or size + len(texts[stop]) <= CUT_AT_ONCE):
                 size += max(1, len(texts[stop]))
                 stop += 1
-            cut = [self._pieces(t) for t in texts[start:stop]]
-            start = stop
+            marked = list(map(self._marked, texts[start:stop]))
             # A text that is left whole is not worth remembering.
-            whole = {i for i, p in enumerate(cut) if len(p) == 1}
-            unknown: set[str] = set()
-            for i, pieces in enumerate(cut):
-                if i not in whole:
-                    unknown.update(pieces)
-            unknown.difference_update(self.known)
-            if len(self.known) + len(unknown) > REMEMBERED:
-                self.known.clear()
-                for i, pieces in enumerate(cut):
-                    if i not in whole:
-                        unknown.update(pieces)
-            new = list(unknown)
-            self.known.update(zip(new, self._ids(new), strict=True))
-            alone = iter(self._ids([cut[i][0] for i in sorted(whole)]))
-            for i, pieces in enumerate(cut):
-                if i in whole:
-                    yield next(alone)
-                else:
-                    yield b"".join(map(self.known.__getitem__, pieces))
+            whole = [i for i, m in enumerate(marked) if "\0" not in m]
+            alone = dict(zip(whole, self._ids([texts[start + i] for i in whole]), strict=True))
+            if len(whole) < len(marked):
+                kept = [None if i in alone else m for i, m in enumerate(marked)]
+                cut = pc.split_pattern(pa.array(kept, pa.large_string()), "\0")
+                pieces = cut.flatten().dictionary_encode()
+                found = self._remembered(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
+                joined = pa.array(found, pa.large_binary()).take(pieces.indices)
+                places, octets = joined.buffers()[1:]
+                ends = np.frombuffer(places, np.int64, len(joined) + 1)[cut.offsets.to_numpy()]
+                ids = memoryview(octets or b"")
+            for i in range(stop - start):
+                yield alone[i] if i in alone else bytes(ids[ends[i] : ends[i + 1]])
+            start = stop
 
 
 def vocabulary(name: str) -> str:

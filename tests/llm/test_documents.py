@@ -224,6 +224,28 @@ def test_ids_are_those_of_whole_texts(spark, name, keeps):
         assert found == [e.ids for e in tool.library.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_the_memory_is_asked_once_for_each_different_piece():
+    """Not for each piece, of which there are many times as many."""
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, key):
+            Counted.asked += 1
+            return super().get(key)
+
+        def __getitem__(self, key):
+            Counted.asked += 1
+            return super().__getitem__(key)
+
+    tool = Encoder(vocabulary("byte_bpe_50k.json"), True)
+    texts = ["one two three two one"] * 500
+    first = list(tool.encode(texts))
+    tool.known = Counted(tool.known)
+    assert list(tool.encode(texts)) == first
+    assert 0 < Counted.asked <= 2 * len(tool.known)
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_codes_round_trip(seed):
     rng = np.random.default_rng(seed)
