@@ -14,8 +14,9 @@ from collections.abc import Iterator
 
 import numpy as np
 
-# Pieces that are remembered; a full memory is emptied.
-REMEMBERED = 1_500_000
+# Pieces that are remembered, about 200 bytes each. Of a full memory the older half goes, without
+# the pieces that were met since.
+REMEMBERED = 500_000
 
 # Characters of texts that are cut at once.
 CUT_AT_ONCE = 8_000_000
@@ -49,6 +50,7 @@ class Encoder:
         self.dtype = id_type(self.library.get_vocab_size())
         self.code = {"<u2": "H", "<u4": "I"}[self.dtype]
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         # Where in a text its ids come from is not asked for.
@@ -70,14 +72,20 @@ class Encoder:
     def _remembered(self, pieces: list[str]) -> list[bytes]:
         """The ids of different pieces."""
         found = list(map(self.known.get, pieces))
-        unknown = [p for p, ids in zip(pieces, found, strict=True) if ids is None]
-        if not unknown:
+        places = [i for i, ids in enumerate(found) if ids is None]
+        if not places:
             return found
-        if len(self.known) + len(unknown) > REMEMBERED:
-            self.known.clear()
-            unknown = pieces
-        self.known.update(zip(unknown, self._ids(unknown), strict=True))
-        return list(map(self.known.__getitem__, pieces))
+        met = [pieces[i] for i in places]
+        earlier = list(map(self.older.get, met))
+        new = iter(self._ids([p for p, ids in zip(met, earlier, strict=True) if ids is None]))
+        learnt = [next(new) if ids is None else ids for ids in earlier]
+        for i, ids in zip(places, learnt, strict=True):
+            found[i] = ids
+        if len(self.known) + len(met) > REMEMBERED // 2:
+            self.older, self.known = self.known, {}
+        # More than half a memory at once is not worth remembering.
+        self.known.update(zip(met[: REMEMBERED // 2], learnt))
+        return found
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text, as bytes of :attr:`dtype`.

@@ -275,6 +275,20 @@ def test_lengths_are_the_best_without_a_limit():
     assert (huffman.code_lengths(counts) * counts).sum() == cost
 
 
+def test_memory_of_pieces_is_bounded_and_keeps_frequent_ones(monkeypatch):
+    from sedimenta.llm import tokens
+
+    monkeypatch.setattr(tokens, "REMEMBERED", 40)
+    tool = tokens.Encoder(tokens.vocabulary("word_bpe_49k.json"), False)
+    plain, ids = tool.library, {}
+    for n in range(60):
+        text = f"often {words(9, 3_000 + n)}"
+        (ids[n],) = tool.encode([text])
+        assert len(tool.known) + len(tool.older) <= 40
+        assert np.frombuffer(ids[n], tool.dtype).tolist() == plain.encode(text, add_special_tokens=False).ids
+        assert "often" in tool.known or "often" in tool.older
+
+
 def test_token_file(spark, tmp_path, monkeypatch):
     df = odd_documents(spark)
     path = str(tmp_path / "file")
