@@ -24,6 +24,13 @@ from .components import connected_components
 # Words whose hash is remembered; a full memory is emptied.
 REMEMBERED = 1_000_000
 
+# Bits that say which documents are candidates, in words of 64; of more documents more texts pass
+# and find no partner in the join.
+BITS = 1 << 24
+
+# Shingles for each set of a tile; of small sets there are four times as many.
+TILED = 512
+
 
 @dataclass(frozen=True)
 class Sketches:
@@ -38,9 +45,10 @@ class Sketches:
     deviations.
 
     Of a list with up to ``short`` members all pairs are candidates. A longer one is left to the
-    short lists of its members, if they stand in ``enough`` of those, and compared in ``tile``
-    times ``tile`` pieces for the rest, in ``hot_listed`` lists of a member at most. ``rounds``:
-    members with which each member of a list is compared first.
+    short lists of its members, if they stand in ``enough`` of those, and compared in tiles for the
+    rest, in ``hot_listed`` lists of a member at most; a tile has ``tile`` sets of ``TILED``
+    shingles, or more that are smaller. ``rounds``: members with which each member of a list is
+    compared first.
     """
 
     words: int = 2
@@ -139,9 +147,15 @@ def shingle_sets(docs: DataFrame, settings: Sketches, whole: bool = True) -> Dat
 def whole_sets(docs: DataFrame, ids: DataFrame, settings: Sketches) -> DataFrame:
     """(doc_id, n, members) of the documents of ``ids`` (doc_id), repeats allowed.
 
-    Texts go through the shuffle, which are half as large as their sets.
+    Texts go through the shuffle, which are half as large as their sets, and of other documents
+    only those whose bit of a bitmap of fixed size is set by chance.
     """
-    texts = docs.select("doc_id", "text").join(ids.distinct(), "doc_id", "left_semi")
+    place = F.xxhash64("doc_id").bitwiseAND(BITS - 1)
+    word, bit = F.shiftright(place, 6).alias("_word"), F.expr("shiftleft(1L, cast(_place & 63 AS int))")
+    marked = ids.withColumn("_place", place).groupBy(word).agg(F.bit_or(bit).alias("_bits"))
+    texts = docs.select("doc_id", "text", place.alias("_place"), word)
+    texts = texts.join(F.broadcast(marked), "_word").where(F.col("_bits").bitwiseAND(bit) != 0)
+    texts = texts.select("doc_id", "text").join(ids.distinct(), "doc_id", "left_semi")
     return shingle_sets(texts, settings).where("n > 0").select("doc_id", "n", "members")
 
 
@@ -309,6 +323,13 @@ def long_members(lists: DataFrame, open_lists: DataFrame, settings: Sketches) ->
     return members.drop("_nth", "place")
 
 
+def _tiles(settings: Sketches) -> Column:
+    """How many tiles the sets of a group need."""
+    return F.ceil(
+        F.greatest(F.count("*") / (4 * settings.tile), F.sum("n") / (TILED * settings.tile))
+    ).cast("long").alias("tiles")
+
+
 def long_list_links(members: DataFrame, sets: DataFrame, settings: Sketches) -> DataFrame:
     """Links between parts among the given members of long lists.
 
@@ -320,16 +341,17 @@ def long_list_links(members: DataFrame, sets: DataFrame, settings: Sketches) ->
     # so wide that partners are in the same band or the next.
     step = F.log(F.lit(100 / settings.percent))
     band = F.floor(F.log(F.col("n").cast("double")) / step).cast("long")
-    band = F.when(F.col("size") > settings.tile, band).otherwise(F.lit(0).cast("long"))
-    rows = members.withColumn("band", band)
-    counts = rows.groupBy("value", "band").agg(F.count("*").alias("in_band"))
+    whole = members.groupBy("value").agg(_tiles(settings))
+    band = F.when(F.col("tiles") > 1, band).otherwise(F.lit(0).cast("long"))
+    rows = members.join(whole, "value").withColumn("band", band).drop("tiles")
+    counts = rows.groupBy("value", "band").agg(_tiles(settings))
     rows = rows.join(counts, ["value", "band"])
-    tiles = F.ceil(F.col("in_band") / settings.tile).cast("long")
+    tiles = F.col("tiles")
     rows = rows.withColumn("tile", F.pmod(F.xxhash64("id"), tiles))
     # Tiles of the own and of the next band, in which partners may be.
     near = counts.select(
         "value", (F.col("band") - 1).alias("band"),
-        F.ceil(F.col("in_band") / settings.tile).cast("long").alias("next_tiles"),
+        F.col("tiles").alias("next_tiles"),
     )
     own = rows.select(
         "*", F.explode(F.sequence(F.lit(0), tiles - 1)).alias("other"), F.lit(0).alias("step")
@@ -410,11 +432,14 @@ def sketch_duplicates(docs: DataFrame, settings: Sketches = Sketches()) -> DataF
     """
     sets = Step(shingle_sets(docs, settings, whole=False), "sketches").df
     known = sets.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    classes = known.groupBy("mark").agg(F.min("doc_id").alias("first"))
-    named = Step(known.select("doc_id", "mark").join(classes, "mark").drop("mark"), "classes").df
-    first = named.where(F.col("doc_id") == F.col("first")).select("doc_id").distinct()
-    narrow = known.select("doc_id", "n", "members")
-    heads = Step(narrow.join(first, "doc_id", "left_semi"), "heads")
+    # Sets of the same mark are the same.
+    classes = known.groupBy("mark").agg(
+        F.min("doc_id").alias("doc_id"), F.any_value("n").alias("n"),
+        F.any_value("members").alias("members"),
+    )
+    heads = Step(classes, "heads")
+    first = heads.df.select("mark", F.col("doc_id").alias("first"))
+    named = Step(known.select("doc_id", "mark").join(first, "mark").drop("mark"), "classes").df
     all_lists = inverted(heads.df, settings)
     shared = all_lists.groupBy("value").agg(F.count("*").alias("_n")).where("_n > 1").select("value")
     # What stands in a list alone has no candidates there.

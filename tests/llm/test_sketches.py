@@ -136,6 +136,31 @@ def test_estimates_lose_no_link():
     assert passed[0.8] == 2_000 and passed[0.3] < 20
 
 
+def test_linked_sets_share_a_list_that_others_do_not():
+    """Whatever the size, two shared hashes follow each other; one shared hash makes no list."""
+    rng = np.random.default_rng(5)
+    settings = sketches.Sketches()
+    for n in [2, 4, 5, 9, 16, 40, 90, 400] * 30:
+        union = np.sort(rng.integers(0, 2**63, n))
+        apart = rng.permutation(n)[: n // 5]
+        a, b = np.delete(union, apart[::2]), np.delete(union, apart[1::2])
+        lists = []
+        for x in (a, b):
+            twos = list(zip(x, x[1:]))
+            lists.append(set(twos[: int(settings.lists_of(np.array([len(x)]))[0])]))
+        assert lists[0] & lists[1]
+
+
+def test_common_shingles_alone_make_no_candidates(spark):
+    common = " ".join(words(2, 9).split() * 2)
+    rows = [(n, f"{common} {words(60, 2_000 + n)}") for n in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    settings = sketches.Sketches(kept=1_000, listed=900)
+    sets = sketches.shingle_sets(docs, settings, whole=False).select("doc_id", "n", "members")
+    lists = sketches.inverted(sets, settings)
+    assert sketches.pivot_pairs(lists, settings).count() < 50
+
+
 def test_query(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
     expected = {(d, n, c, d == c) for (d, _), (n, c) in zip(docs, plain_components(docs))}
