@@ -151,11 +151,15 @@ def whole_sets(docs: DataFrame, ids: DataFrame, settings: Sketches) -> DataFrame
     only those whose bit of a bitmap of fixed size is set by chance.
     """
     place = F.xxhash64("doc_id").bitwiseAND(BITS - 1)
-    word, bit = F.shiftright(place, 6).alias("_word"), F.expr("shiftleft(1L, cast(_place & 63 AS int))")
-    marked = ids.withColumn("_place", place).groupBy(word).agg(F.bit_or(bit).alias("_bits"))
-    texts = docs.select("doc_id", "text", place.alias("_place"), word)
-    texts = texts.join(F.broadcast(marked), "_word").where(F.col("_bits").bitwiseAND(bit) != 0)
-    texts = texts.select("doc_id", "text").join(ids.distinct(), "doc_id", "left_semi")
+    bit = F.expr("shiftleft(1L, cast(_place & 63 AS int))")
+    wanted = ids.distinct().withColumn("_place", place)
+    wanted = wanted.withColumn("_mark", F.shiftright("_place", 6))
+    marked = wanted.groupBy("_mark").agg(F.bit_or(bit).alias("_bits"))
+    texts = docs.select("doc_id", "text", place.alias("_place"))
+    texts = texts.join(F.broadcast(marked), F.shiftright("_place", 6) == F.col("_mark"))
+    texts = texts.where(F.col("_bits").bitwiseAND(bit) != 0).select("doc_id", "text", "_mark")
+    # With the mark as a key Spark can't put this join before the other.
+    texts = texts.join(wanted, ["doc_id", "_mark"], "left_semi").drop("_mark")
     return shingle_sets(texts, settings).where("n > 0").select("doc_id", "n", "members")
 
 
