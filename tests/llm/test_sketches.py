@@ -161,6 +161,15 @@ def test_common_shingles_alone_make_no_candidates(spark):
     assert sketches.pivot_pairs(lists, settings).count() < 50
 
 
+def test_texts_of_no_candidate_stay_out_of_the_shuffle(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text")
+    ids = docs.where("doc_id % 7 = 0").select("doc_id")
+    found = sketches.whole_sets(docs, ids.union(ids), sketches.Sketches())
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join LeftSemi") < plan.index("Join Inner")
+    assert found.count() == found.join(ids, "doc_id").count() > 0
+
+
 def test_query(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").collect()]
     expected = {(d, n, c, d == c) for (d, _), (n, c) in zip(docs, plain_components(docs))}
